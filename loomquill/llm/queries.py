@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomquill.llm import leak, repetition, split, survivor
+from loomquill.llm import bpe, leak, repetition, split, survivor
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,17 @@ def p7_scores(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.col("key").alias("reading_id"), "attr", "n_words", F.round("run_share", 6).alias("repeated_share"), "votes", F.round("posterior", 6).alias("posterior")).distinct()
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose decoded ids are not the text itself: none."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    back = bpe.decode(p8_ids(spark, d), "doc_id").withColumnRenamed("text", "decoded")
+    return docs.join(back, "doc_id").where(F.coalesce("text", F.lit("")) != F.col("decoded")).select("doc_id", "decoded")
+
+
 def _leak_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     return docs, table(spark, d, "eval_items").select(F.col("item_id").alias("id"), "text")
@@ -64,6 +75,6 @@ def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(*_leak_inputs(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p9_found, p9_leaks)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks)}
 
 SQL: dict[str, str] = {}
