@@ -7,12 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomquill.llm import bpe, leak, repetition, split, survivor
+from loomquill.llm import bpe, leak, neardup, neighbours, repetition, split, survivor
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+TABLES = {0: "store_rows", 1: "embed_payloads"}
+
+
+def _named(tbl: str = "tbl") -> F.Column:
+    return F.when(F.col(tbl) == 0, TABLES[0]).otherwise(TABLES[1]).alias("tbl")
+
+
+def _collection(spark: SparkSession, d: str, of_rows: str, of_payloads: str, value: str) -> DataFrame:
+    """(tbl, key, value) of both collections; an element's key is payload_id * 1000 + position."""
+    rows = table(spark, d, "store_rows").select(F.lit(0).alias("tbl"), F.col("row_id").alias("key"), F.col(of_rows).alias(value))
+    elements = table(spark, d, "embed_payloads").select("payload_id", F.posexplode(of_payloads).alias("pos", value))
+    return rows.unionByName(elements.select(F.lit(1).alias("tbl"), (F.col("payload_id") * 1000 + F.col("pos")).alias("key"), value))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neardup.alike_pairs(_collection(spark, d, "document", "img_txt_docs", "text"), least=0.6, run=3)
+    return pairs.select(_named(), F.col("a").alias("id_a"), F.col("b").alias("id_b"))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Near-duplicates at five words and 0.8: one row per text with its class and that class's number of links."""
+    found = neardup.classes_and_links(_collection(spark, d, "document", "img_txt_docs", "text"))
+    return found.select(_named(), "key", "cls", "n_links")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    n = neighbours.nearest(_collection(spark, d, "embedding", "txt_embeddings", "vector"))
+    return n.select(_named(), F.least("key", "other").alias("id_a"), F.greatest("key", "other").alias("id_b")).distinct()
+
+
+def p5_nearest(spark: SparkSession, d: str) -> DataFrame:
+    n = neighbours.nearest(_collection(spark, d, "embedding", "txt_embeddings", "vector"))
+    return n.select(_named(), "key", "rank", "other", F.round("cos", 3).alias("cos"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.winners(table(spark, d, "img_docs"), table(spark, d, "extractors"))
 
@@ -75,6 +110,6 @@ def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(*_leak_inputs(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks)}
 
 SQL: dict[str, str] = {}
