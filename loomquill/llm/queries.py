@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomquill.llm import bpe, leak, neardup, neighbours, repetition, split, survivor
+from loomquill.llm import bpe, language, leak, neardup, neighbours, repetition, split, survivor
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,20 @@ def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(*_leak_inputs(spark, d))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks)}
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.relabelled(_labelled(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Segments in one language each, with a confidence."""
+    c = language.classified(_labelled(spark, d))
+    return c.select(F.col("key").alias("doc_id"), F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.length", "s.lang", F.round("s.confidence", 4).alias("confidence"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
 SQL: dict[str, str] = {}
