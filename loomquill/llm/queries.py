@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomquill.llm import bpe, language, leak, neardup, neighbours, repetition, split, survivor
+from loomquill.llm import bpe, language, leak, markup, neardup, neighbours, repetition, split, survivor
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,14 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(_long_texts(spark, d), "key", "text").select("key.tbl", "key.item_id", "piece_no", "piece", "start", "fresh", "boundary")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.structure(table(spark, d, "text_docs"), "item_id", "page_content")
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.cleaned(table(spark, d, "text_docs"), "item_id", "page_content").distinct()
+
+
 def _readings(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "image_readings")
     pairs = F.array(*[F.struct(F.lit(a).alias("attr"), F.col(a).alias("text")) for a in ("caption", "chartqa")])
@@ -124,6 +132,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("key").alias("doc_id"), F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.length", "s.lang", F.round("s.confidence", 4).alias("confidence"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
 SQL: dict[str, str] = {}
