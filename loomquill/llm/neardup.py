@@ -1,15 +1,15 @@
 """Near-duplicate texts: an inverted join on the coordinates of signatures.
 
-A text's signature has COORDINATES values, each made of two min-hashes over its runs of words, so that two texts of
-similarity s agree in a coordinate with probability s squared. Texts are posted under each (coordinate, value); lists are
-counted after a map-side combine, and lists of one text go. A text keeps its rarest lists only, all but AGREE - 1 of them:
-two texts that agree in AGREE coordinates still meet in a list that both keep (the prefix), and the long lists that both
-leave out are not merged but probed: collisions are counted on the whole signatures of the pairs that met. Pairs with AGREE
-collisions or more are then compared exactly on their sets of runs.
+A text's signature has COORDINATES values, each made of three min-hashes over its runs of words, so that two texts of
+similarity s agree in a coordinate with probability s cubed, and phrases that many texts share hardly ever make a list. Texts are posted under each (coordinate, value); lists are
+counted after a map-side combine, and lists of one text go. Of its lists of more than LIST_SHORT texts a text leaves out
+the longest, AGREE - 1 at most: two texts that agree in AGREE coordinates still meet in a list that both keep (the
+prefix). Kept lists are merged and collisions counted; the others are not merged but skipped: a pair that could reach AGREE
+only by them is not dropped. Pairs with AGREE collisions, certain or possible, are compared exactly on their sets of runs.
 
 Texts with equal word sequences form one class before anything is posted, so copies cost one row per task. Lists of more
-than LIST_BLOCK texts are joined in blocks of that size: no task holds a whole list. With 28 coordinates and 3 agreements
-a pair of similarity 0.6 is missed with probability 5e-4, one of 0.7 with less than 1e-6.
+than LIST_BLOCK texts are joined in blocks of that size: no task holds a whole list. With 32 coordinates and 3 agreements
+a pair of similarity 0.65 is missed with probability 3e-3, one of 0.7 with 2e-4, one of 0.75 with 1e-5.
 
 Defined results: words are maximal runs of letters and digits in lower case; null texts and texts with fewer words than a
 run has none and are alike to nothing; rows repeated under one key are one record (of unequal ones each text counts);
@@ -25,14 +25,16 @@ import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomquill.session import cut
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
-COORDINATES, AGREE, LIST_BLOCK = 28, 3, 2000
+COORDINATES, JOINED, AGREE, LIST_SHORT, LIST_BLOCK = 32, 3, 3, 200, 2000
+#: Up to this many texts in candidate pairs, their keys (some 30 bytes each) are broadcast to the scan of the texts.
+MOST_WANTED = 300_000
 #: Classes of equal texts up to this size are written out as pairs; larger ones as pairs with their smallest member.
 PAIRED = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -83,7 +85,8 @@ class Signatures:
         self.run = run
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seeds = _mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * GOLDEN)
+        # the runs' hashes are mixed well, so odd factors give as good as independent orders
+        factors = _mix(np.arange(1, JOINED * COORDINATES + 1, dtype=np.uint64) * GOLDEN) | np.uint64(1)
         runs = Runs(self.run)
         for whole in batches:
             for at in range(0, len(whole), 2000):
@@ -93,16 +96,18 @@ class Signatures:
                 kept = np.flatnonzero(np.diff(start) > 0)
                 if not len(kept):
                     continue
-                mins = np.stack([np.minimum.reduceat(_mix(key ^ s), start[kept]) for s in seeds])
-                pairs = _mix(mins[0::2] * GOLDEN + mins[1::2] + np.arange(COORDINATES, dtype=np.uint64)[:, None])
+                mins = np.stack([np.minimum.reduceat(key * f, start[kept]) for f in factors])
+                values = np.broadcast_to(np.arange(COORDINATES, dtype=np.uint64)[:, None], (COORDINATES, len(kept)))
+                for j in range(JOINED):
+                    values = _mix(values * GOLDEN + mins[j::JOINED])
                 names = [xxhash.xxh128_digest(" ".join(words[i]).encode("utf-8", "surrogatepass")) for i in kept]
                 h = np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
                 rows = pa.array(kept)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), *[pa.array(p.view(np.int64)) for p in pairs]], names=["tbl", "key", "h1", "h2", *[f"s{i}" for i in range(COORDINATES)]])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), *[pa.array(p.view(np.int64)) for p in values]], names=["tbl", "key", "h1", "h2", *[f"s{i}" for i in range(COORDINATES)]])
 
 
 class RunSets:
-    """(tbl, cls, sorted distinct runs, signature) of the texts of candidate pairs."""
+    """(tbl, cls, sorted distinct runs) of the texts of candidate pairs."""
 
     def __init__(self, run: int):
         self.run = run
@@ -128,19 +133,28 @@ def class_table(signed: DataFrame) -> DataFrame:
     return signed.groupBy("tbl", "h1", "h2").agg(F.min("key").alias("cls"), (F.min("key") < F.max("key")).alias("many"), *same)
 
 
+def node(tbl: Column, key: Column) -> Column:
+    """One number for a collection (0 to 15) and a key in it (below 2**59)."""
+    return key * 16 + tbl
+
+
 def candidates(one: DataFrame, agree: int = AGREE) -> DataFrame:
-    """(tbl, a, b): class pairs that meet in a list both keep, from the class table."""
-    lists = F.explode(F.array(*[F.col(f"s{i}") for i in range(COORDINATES)])).alias("post")
-    posted = one.select("tbl", "cls", lists)
-    sizes = posted.groupBy("tbl", "post").agg(F.count("*").alias("n")).where("n > 1")
-    met = posted.join(sizes, ["tbl", "post"])
-    # the prefix: per text all lists but the agree - 1 longest; a text has COORDINATES of them at most
-    own = met.groupBy("tbl", "cls").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("own")).where(F.size("own") >= agree)
-    kept = own.select("tbl", "cls", F.explode(F.slice("own", 1, F.size("own") - (agree - 1))).alias("x")).select("tbl", "cls", "x.n", "x.post")
-    blocks = F.ceil(F.col("n") / LIST_BLOCK).cast("int")
-    left = kept.select("tbl", "post", F.col("cls").alias("a"), F.pmod(F.hash("cls"), blocks).alias("block"))
-    right = kept.select("tbl", "post", F.col("cls").alias("b"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    return left.join(right, ["tbl", "post", "block"]).where("a < b").select("tbl", "a", "b").distinct()
+    """(tbl, a, b): class pairs with ``agree`` collisions, or as many as the lists left out may add to, from the class table."""
+    # a value belongs to one collection and, by its making, to one coordinate
+    values = F.array(*[F.col(f"s{i}") for i in range(COORDINATES)])
+    posted = one.select(node(F.col("tbl"), F.col("cls")).alias("node"), F.explode(F.transform(values, lambda v: v.bitwiseXOR(F.col("tbl").cast("long")))).alias("post"))
+    sizes = posted.groupBy("post").agg(F.count("*").alias("n")).where("n > 1")
+    met = posted.join(sizes, "post")
+    # the prefix: short lists, and of the others all but the agree - 1 longest; a text has COORDINATES of them at most
+    own = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("own")).where(F.size("own") >= agree)
+    prefix = F.filter("own", lambda x, i: (x["n"] <= LIST_SHORT) | (i <= F.size("own") - agree))
+    kept = own.select("node", prefix.alias("kept"), (F.size("own") - F.size(prefix)).alias("skipped")).select("node", "skipped", F.explode("kept").alias("x"))
+    blocks = F.ceil(F.col("x.n") / LIST_BLOCK).cast("int")
+    left = kept.select("x.post", F.pmod(F.hash("node"), blocks).alias("block"), F.col("node").alias("a"), F.col("skipped").alias("skipped_a"))
+    right = kept.select("x.post", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("skipped").alias("skipped_b"))
+    pairs = left.join(right, ["post", "block"]).where("a < b").select("a", "b", (F.col("skipped_a") + F.col("skipped_b")).alias("skipped"))
+    enough = pairs.groupBy("a", "b").agg((F.count("*") + F.max("skipped")).alias("most")).where(F.col("most") >= agree)
+    return enough.select(F.pmod("a", F.lit(16)).cast("int").alias("tbl"), F.shiftright("a", 4).alias("a"), F.shiftright("b", 4).alias("b"))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -156,20 +170,17 @@ def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def class_pairs(texts: DataFrame, signed: DataFrame, least: float, run: int, agree: int = AGREE) -> DataFrame:
     """(tbl, a, b, similarity) with a < b: all pairs of classes found whose similarity is ``least`` or more."""
-    one = class_table(signed)
-    met = cut(candidates(one, agree))
+    met = cut(candidates(class_table(signed), agree))
     wanted = met.select("tbl", F.explode(F.array("a", "b")).alias("cls")).distinct()
+    if wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED:
+        wanted = F.broadcast(wanted)  # else the texts are shuffled to it
     rows = texts.select("tbl", F.col("key").alias("cls"), "text").where(F.col("text").isNotNull())
     sets = rows.join(wanted, ["tbl", "cls"]).mapInPandas(RunSets(run), "tbl int, cls long, runs array<long>")
     # of unequal texts under one key the one with fewest runs stands for it; equal rows are one
-    sets = sets.groupBy("tbl", "cls").agg(F.min_by("runs", F.size("runs")).alias("runs"))
-    signature = one.join(wanted, ["tbl", "cls"]).select("tbl", "cls", F.array(*[F.col(f"s{i}") for i in range(COORDINATES)]).alias("sig"))
-    known = sets.join(signature, ["tbl", "cls"])
-    left, right = (known.select("tbl", F.col("cls").alias(x), F.col("runs").alias(f"runs_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    probed = met.join(left, ["tbl", "a"]).join(right, ["tbl", "b"])
-    # values of unlike coordinates differ, so common values are collisions
-    agreeing = probed.where(F.size(F.array_intersect("sig_a", "sig_b")) >= agree)
-    return agreeing.select("tbl", "a", "b", overlap("runs_a", "runs_b").alias("similarity")).where(F.col("similarity") >= least)
+    known = sets.groupBy("tbl", "cls").agg(F.min_by("runs", F.size("runs")).alias("runs"))
+    left, right = (known.select("tbl", F.col("cls").alias(x), F.col("runs").alias(f"runs_{x}")) for x in "ab")
+    compared = met.join(left, ["tbl", "a"]).join(right, ["tbl", "b"])
+    return compared.select("tbl", "a", "b", overlap("runs_a", "runs_b").alias("similarity")).where(F.col("similarity") >= least)
 
 
 def membership(signed: DataFrame) -> DataFrame:
