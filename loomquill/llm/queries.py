@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomquill.llm import bpe, language, leak, markup, neardup, neighbours, repetition, split, survivor
+from loomquill.llm import bpe, language, leak, markup, neardup, neighbours, ocr, repetition, split, survivor
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,27 @@ def p5_nearest(spark: SparkSession, d: str) -> DataFrame:
     return n.select(_named(), "key", "rank", "other", F.round("cos", 3).alias("cos"))
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    """Both tables as (key, source, text); readings have negative keys."""
+    a = table(spark, d, "text_docs").select(F.col("item_id").alias("key"), F.col("metadata.source").alias("source"), F.col("page_content").alias("text"))
+    b = table(spark, d, "image_readings").select((-1 - F.col("reading_id")).alias("key"), F.lit(None).cast("string").alias("source"), F.col("ocr").alias("text"))
+    return a.unionByName(b)
+
+
+def _unkeyed(df: DataFrame, *columns: str) -> DataFrame:
+    tbl = F.when(F.col("key") < 0, "image_readings").otherwise("text_docs").alias("tbl")
+    return df.select(tbl, F.when(F.col("key") < 0, -1 - F.col("key")).otherwise(F.col("key")).alias("item_id"), *columns)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    found = ocr.mended(_pages(spark, d)).select("key", F.explode("defects").alias("x"))
+    return _unkeyed(found, "x.defect", "x.piece").distinct()
+
+
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return _unkeyed(ocr.mended(_pages(spark, d)), "text").distinct()
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.winners(table(spark, d, "img_docs"), table(spark, d, "extractors"))
 
@@ -132,6 +153,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("key").alias("doc_id"), F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.length", "s.lang", F.round("s.confidence", 4).alias("confidence"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
 SQL: dict[str, str] = {}
