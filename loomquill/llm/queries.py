@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomquill.llm import bpe, language, leak, markup, neardup, neighbours, ocr, repetition, split, survivor
+from loomquill.llm.sql import SQL
 from loomquill.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,4 +156,5 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
-SQL: dict[str, str] = {}
+
+__all__ = ["QUERIES", "SQL"]
