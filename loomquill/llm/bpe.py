@@ -28,6 +28,9 @@ PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L
 #: Words in one recursive query have so many bytes together, and a worker remembers so many words.
 QUERY_BYTES, REMEMBERED = 200_000, 400_000
 
+#: Words of more bytes than this contract all equal pairs at once, from the left; others are done in a few steps anyway.
+LONG = 48
+
 CONTRACT = """
 WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
     SELECT word, pos, tok FROM start
@@ -48,6 +51,11 @@ WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
 )
 SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE tok IS NOT NULL GROUP BY word ORDER BY word
 """
+#: The leftmost pair of least rank, and at once those that follow it one after the other: every second of a stretch.
+FIRST = "coalesce(rank = best AND NOT lag(rank = best, 1, false) OVER w, false)"
+EVERY = "coalesce(rank = best AND (row_number() OVER w - max(CASE WHEN rank = best THEN 0 ELSE nth END) OVER (PARTITION BY word ORDER BY pos)) % 2 = 1, false)"
+CONTRACT_LONG = CONTRACT.replace(FIRST, EVERY).replace("coalesce(rank, -1) AS rank,", "coalesce(rank, -1) AS rank, row_number() OVER (PARTITION BY word ORDER BY pos) AS nth,")
+assert CONTRACT_LONG.count("nth") == 2
 
 
 def byte_names() -> list[str]:
@@ -104,7 +112,10 @@ class Encoder:
         new = {w: None for words in cut for w in words if w not in self.known}
         group: list[str] = []
         size = 0
-        for w in new:
+        for w in sorted(new, key=len):  # the long ones together
+            if group and len(w) * 4 > LONG >= len(group[-1]) * 4:
+                self.learn(group)
+                group, size = [], 0
             group.append(w)
             size += len(w)
             if size > QUERY_BYTES // 2:
@@ -128,7 +139,8 @@ class Encoder:
         tokens = self.first[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         rows = pa.table({"word": np.repeat(np.arange(len(raw), dtype=np.int32), sizes), "pos": (np.arange(len(tokens)) - np.repeat(starts, sizes)).astype(np.int32), "tok": tokens})
         self.con.register("start", rows)
-        ids = self.con.execute(CONTRACT).to_arrow_table().column("ids").to_pylist()
+        query = CONTRACT_LONG if sizes.max() > LONG else CONTRACT
+        ids = [r[1] for r in self.con.execute(query).fetchall()]
         self.con.unregister("start")
         self.known.update(zip(words, ids, strict=True))
 

@@ -60,7 +60,7 @@ TEX_DROP = regex.compile(r"~?\\(?:cite[tp]?|label|ref|eqref|footnote|index|vspac
 TEX_LINK = regex.compile(r"\\href\{[^{}]*\}\{(?P<t>[^{}]*)\}")
 TEX_KEEP = regex.compile(r"\\(?:textbf|textit|texttt|textsc|textrm|textsf|text|emph|underline|mbox|caption|url)\{([^{}]*)\}")
 TAG = regex.compile(r"<!--.*?-->|</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>", regex.S)
-STRONG = regex.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])(.+?)(?<=[^\s*])\1(?![\w*])|(?<![\w_])(_{1,3})(?=[^\s_])(.+?)(?<=[^\s_])\3(?![\w_])|~~(?=\S)(.+?)(?<=\S)~~", regex.S)
+STRONG = regex.compile(r"(?<![\w*])(\*{1,3})(?=[^\s*])([^*]+)(?<=[^\s*])\1(?![\w*])|(?<![\w_])(_{1,3})(?=[^\s_])([^_]+)(?<=[^\s_])\3(?![\w_])|~~(?=\S)([^~]+)(?<=\S)~~")
 KEPT = "\ue000{}\ue001"
 PLACE = regex.compile("\ue000(\\d+)\ue001")
 
@@ -419,6 +419,7 @@ LABELLED = (
     ("heading", 5, 0.0, 0, 0.0, 30, 0.0, "heading"), ("heading", 3, 0.0, 40, 0.0, 25, 0.1, "heading"), ("heading", 1, 0.0, 8, 0.0, 60, 0.0, "heading"), ("heading", 14, 0.0, 5, 0.0, 12, 0.0, "heading"), ("heading", 4, 0.5, 30, 0.0, 40, 0.0, "heading"), ("heading", 2, 1.0, 50, 0.0, 33, 0.0, "heading"),
     ("heading", 1, 1.0, 2, 1.0, 1, 1.0, "furniture"), ("heading", 2, 1.0, 1, 1.0, 2, 1.0, "furniture"),
     ("list", 7, 0.0, 20, 0.0, 7, 0.0, "list_item"), ("list", 6, 0.2, 7, 0.0, 8, 0.2, "list_item"), ("list", 1, 0.0, 4, 0.0, 2, 0.0, "list_item"), ("list", 45, 0.05, 30, 0.0, 0, 0.0, "list_item"), ("list", 5, 0.4, 6, 0.2, 3, 0.0, "list_item"), ("list", 3, 0.34, 4, 0.25, 5, 0.4, "list_item"), ("list", 4, 1.0, 30, 0.0, 25, 0.0, "list_item"), ("list", 9, 0.9, 7, 0.1, 8, 0.0, "list_item"),
+    ("list", 1, 1.0, 0, 0.0, 1, 1.0, "furniture"), ("list", 2, 1.0, 15, 0.0, 2, 1.0, "furniture"), ("list", 1, 1.0, 1, 1.0, 0, 0.0, "furniture"), ("list", 2, 1.0, 2, 1.0, 20, 0.0, "furniture"),
     ("list", 1, 1.0, 1, 1.0, 1, 1.0, "furniture"), ("list", 2, 1.0, 2, 1.0, 1, 1.0, "furniture"), ("list", 3, 1.0, 1, 1.0, 3, 1.0, "furniture"), ("list", 2, 0.9, 3, 1.0, 2, 1.0, "furniture"),
     ("code", 3, 0.0, 20, 0.0, 30, 0.0, "code"), ("code", 1, 0.0, 5, 0.0, 5, 0.0, "code"), ("code", 60, 0.0, 0, 0.0, 4, 0.0, "code"), ("code", 9, 0.0, 9, 0.2, 0, 0.0, "code"),
     ("formula", 5, 0.0, 25, 0.0, 5, 0.0, "formula"), ("formula", 1, 0.0, 4, 0.0, 30, 0.0, "formula"), ("formula", 20, 0.0, 0, 0.0, 0, 0.0, "formula"), ("formula", 7, 0.0, 3, 1.0, 3, 1.0, "formula"),
@@ -523,11 +524,11 @@ def _clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def structure(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, part_kind, piece), one row per distinct piece of a text."""
     kind = texts.schema[key].dataType.simpleString()
-    found = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(_parts, f"key {kind}, part_kind string, piece string")
+    found = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull()).mapInPandas(_parts, f"key {kind}, part_kind string, piece string")
     return found.distinct().withColumnRenamed("key", key)
 
 
 def cleaned(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, text) without markup, one row per input row."""
+    """(key, text) without markup, one row per input row that has a key."""
     kind = texts.schema[key].dataType.simpleString()
-    return texts.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(_clean, f"key {kind}, text string").withColumnRenamed("key", key)
+    return texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("key").isNotNull()).mapInPandas(_clean, f"key {kind}, text string").withColumnRenamed("key", key)

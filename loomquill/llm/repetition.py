@@ -5,8 +5,8 @@ into votes (repetitive, fine, or abstain); expectation-maximisation over the cou
 accurate each rule is without any labels; each text gets a posterior probability. The number of patterns is at most
 3 ** len(RULES), so the driver's part stays bounded whatever the number of texts.
 
-Defined results: null, empty and wordless texts have share 0 and abstain in every rule; rows repeated under one key are
-one record; texts of any length are measured whole in linear time.
+Defined results: null, empty and wordless texts have share 0 and abstain in every rule; rows without a key are
+ignored; rows repeated under one key are one record; texts of any length are measured whole in linear time.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def measured(texts: DataFrame) -> DataFrame:
     """(key, attr, n_words, one column for each of RULES) from (key, attr, text)."""
-    return texts.select("key", "attr", "text").mapInPandas(_measure, "key long, attr string, n_words long, " + ", ".join(f"{r} double" for r in RULES))
+    return texts.where(F.col("key").isNotNull()).select("key", "attr", "text").mapInPandas(_measure, "key long, attr string, n_words long, " + ", ".join(f"{r} double" for r in RULES))
 
 
 #: For each rule: vote 1 (repetitive) from the upper value on, vote 0 (fine) up to the lower one, else abstain. The

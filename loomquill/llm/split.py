@@ -11,6 +11,8 @@ text within the limit is one piece; rows are not compared with each other, so re
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,25 +49,41 @@ def pieces(text: Column, limit: int = LIMIT, overlap: int = OVERLAP) -> Column:
     that is, and the kind of boundary at its end. A piece is never longer than ``limit``."""
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be below the limit")
-    whole = strip(text)
     # every piece but the first repeats up to `overlap` characters, so `limit - overlap` new ones fit
-    bodies = F.regexp_extract_all(whole, F.lit(_pattern(limit - overlap)), F.lit(0))
-    return F.when(F.char_length(whole) <= limit, F.when(whole != "", F.array(_piece(whole, F.lit(0), F.char_length(whole), F.lit("end"))))).otherwise(_overlapped(whole, bodies, overlap))
+    pattern = F.lit(_pattern(limit - overlap))
+
+    def cut(whole: Column) -> Column:
+        one = F.when(whole != "", F.array(_piece(whole, F.lit(0), F.char_length(whole), F.lit("end"))))
+        many = _let(F.regexp_extract_all(whole, pattern, F.lit(0)), lambda bodies: _let(_starts(bodies), lambda starts: _overlapped(bodies, starts, overlap)))
+        return F.when(F.char_length(whole) <= limit, one).otherwise(many)
+
+    return _let(strip(text), cut)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use).getItem(0)
+
+
+def _starts(bodies: Column) -> Column:
+    """Where each body starts: running sums of their lengths, in one pass."""
+    zero = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("total"))
+    step = lambda s, b: F.struct(F.concat(s["starts"], F.array(s["total"])).alias("starts"), (s["total"] + F.char_length(b)).alias("total"))
+    return F.aggregate(bodies, zero, step, lambda s: s["starts"])
 
 
 def _piece(piece: Column, start: Column, fresh: Column, boundary: Column) -> Column:
     return F.struct(piece.alias("piece"), start.cast("int").alias("start"), fresh.cast("int").alias("fresh"), boundary.alias("boundary"))
 
 
-def _overlapped(whole: Column, bodies: Column, overlap: int) -> Column:
+def _overlapped(bodies: Column, starts: Column, overlap: int) -> Column:
     """Adds to each body the end of the one before: from a word's start where there is one within the last characters."""
 
     def one(body: Column, i: Column) -> Column:
         before = F.when(i > 0, F.element_at(bodies, F.greatest(i, F.lit(1)).cast("int")))
         tail = F.right(before, F.lit(overlap)) if overlap else F.lit("")
         kept = F.when(F.char_length(before) <= overlap, before).otherwise(F.coalesce(F.nullif(F.regexp_extract(tail, r"(?s)^.*?\s(\S.*)$", 1), F.lit("")), tail))
-        start = F.aggregate(F.slice(bodies, 1, i.cast("int")), F.lit(0), lambda n, b: n + F.char_length(b))
-        return _piece(F.concat(F.coalesce(kept, F.lit("")), body), start, F.char_length(body), _kind(body, i == F.size(bodies) - 1))
+        return _piece(F.concat(F.coalesce(kept, F.lit("")), body), F.get(starts, i), F.char_length(body), _kind(body, i == F.size(bodies) - 1))
 
     return F.transform(bodies, one)
 
@@ -83,6 +101,7 @@ def size_cases(rows: DataFrame, key: str, text: str, limit: int = LIMIT, overlap
     can hold such a run, which is then looked for in it.
     """
     cut = pieces(F.col(text), limit, overlap)
-    hard = F.exists(F.col("cut"), lambda p: p["boundary"] == "character") & F.col(text).rlike(rf"[\p{{L}}\p{{N}}]{{{limit + 1}}}")
-    cases = rows.select(key, text, cut.alias("cut")).where(F.size("cut") > 1)
-    return cases.select(key, F.explode(F.when(hard, F.array(F.lit("oversized"), F.lit("unbreakable"))).otherwise(F.array(F.lit("oversized")))).alias("size_case"))
+    hard = F.exists(F.col("_cut"), lambda p: p["boundary"] == "character") & F.col("_text").rlike(rf"[\p{{L}}\p{{N}}]{{{limit + 1}}}")
+    cases = rows.select(F.col(key).alias("_key"), F.col(text).alias("_text"), cut.alias("_cut")).where(F.size("_cut") > 1)
+    kinds = F.when(hard, F.array(F.lit("oversized"), F.lit("unbreakable"))).otherwise(F.array(F.lit("oversized")))
+    return cases.select(F.col("_key").alias(key), F.explode(kinds).alias("size_case"))
