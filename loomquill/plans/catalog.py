@@ -294,19 +294,19 @@ DISTANCE = "round(pow(list_distance(CAST(q.embedding AS DOUBLE[]), CAST(e.embedd
 TOP_L2 = f"SELECT query, key, rank, measure FROM (SELECT q.vec_id AS query, e.vec_id AS key, {DISTANCE} AS measure, row_number() OVER (PARTITION BY q.vec_id ORDER BY {DISTANCE}, e.vec_id) AS rank FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0) WHERE rank <= 80"
 
 
-@query(f"SELECT query, key, CAST(rank AS BIGINT) AS rank, round(measure, 6) AS distance FROM ({TOP_L2})")
+@query(f"SELECT query, key, CAST(rank AS BIGINT) AS rank, measure AS distance FROM ({TOP_L2})")
 def vector_topk_l2(spark, d):
     n = retrieval.nearest(_vectors(spark, d), _query_vectors(spark, d), EngineConfig().candidates())
-    return n.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.round("measure", 6).alias("distance"))
+    return n.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.col("measure").alias("distance"))
 
 
 COSINE = "round(1 - list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 9)"
 
 
-@query(f"SELECT query, key, CAST(rank AS BIGINT) AS rank, round(1 - m, 6) AS cosine FROM (SELECT q.vec_id AS query, e.vec_id AS key, {COSINE} AS m, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE}, e.vec_id) AS rank FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0) WHERE rank <= 10")
+@query(f"SELECT query, key, CAST(rank AS BIGINT) AS rank, 1 - m AS cosine FROM (SELECT q.vec_id AS query, e.vec_id AS key, {COSINE} AS m, row_number() OVER (PARTITION BY q.vec_id ORDER BY {COSINE}, e.vec_id) AS rank FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0) WHERE rank <= 10")
 def cosine_topk(spark, d):
     n = retrieval.nearest(_vectors(spark, d), _query_vectors(spark, d), 10, cosine=True)
-    return n.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.round("measure", 6).alias("cosine"))
+    return n.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.col("measure").alias("cosine"))
 
 
 @query("SELECT vec_id, round(n, 6) AS norm, round(embedding[1] / (n + 1e-12), 6) AS first_component FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS n FROM embeddings)")
@@ -358,9 +358,9 @@ def bm25_stats(spark, d):
     return retrieval.term_weights(retrieval.postings(docs), docs.count()).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
-@query(f"WITH {TOP_BM25} SELECT query, key, CAST(rank AS BIGINT) AS rank, round(score, 6) AS score FROM top")
+@query(f"WITH {TOP_BM25} SELECT query, key, CAST(rank AS BIGINT) AS rank, score FROM top")
 def bm25_topk(spark, d):
-    return _bm25(spark, d).select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+    return _bm25(spark, d).select("query", "key", F.col("rank").cast("bigint").alias("rank"), "score")
 
 
 def _hits(spark, d) -> DataFrame:
@@ -374,10 +374,10 @@ OVERLAP = f"""round(CASE WHEN len(list_distinct(qw)) > 0 THEN len(list_intersect
 HITS = f"""{TOP_BM25}, hits AS (SELECT query, key, ord, question, document, source, page, source_type, {OVERLAP} AS overlap FROM (SELECT t.query, t.key, CAST(t.rank AS BIGINT) AS ord, e.text AS question, d.text AS document, d.source, d.page, d.source_type, {WORDS.format("lower(e.text)")} AS qw, {WORDS.format("lower(d.text)")} AS dw FROM top t JOIN documents d ON d.doc_id = t.key JOIN eval_items e ON e.item_id = t.query))"""
 
 
-@query(f"WITH {HITS} SELECT query, key, rank, score FROM (SELECT query, key, round(overlap, 6) AS score, row_number() OVER (PARTITION BY query ORDER BY overlap DESC, ord) AS rank FROM hits) WHERE rank <= 3")
+@query(f"WITH {HITS} SELECT query, key, rank, score FROM (SELECT query, key, overlap AS score, row_number() OVER (PARTITION BY query ORDER BY overlap DESC, ord) AS rank FROM hits) WHERE rank <= 3")
 def rerank_lexical(spark, d):
     r = retrieval.rerank(_hits(spark, d), 3)
-    return r.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.round("score", 6).alias("score"))
+    return r.select("query", "key", F.col("rank").cast("bigint").alias("rank"), "score")
 
 
 @query(f"""WITH {HITS}, m AS (SELECT *, max(overlap) OVER (PARTITION BY query) < 0.5 AS weak FROM hits), k AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY CASE WHEN weak THEN 0 ELSE -overlap END, ord) AS rank FROM m WHERE NOT weak OR ord <= 5) SELECT query, key, rank FROM k WHERE rank <= 3""")
