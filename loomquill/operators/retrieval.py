@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,6 +137,20 @@ def postings(docs: DataFrame) -> DataFrame:
     return tokens.select("key", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("term", "key").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
 
 
+def kept_postings(docs: DataFrame, folder: str, version: str) -> DataFrame:
+    """Postings kept below ``folder`` for one snapshot of the store, made if they aren't there; another version is another
+    folder, so an index is never older than what it serves."""
+    if not version.replace("-", "").replace("_", "").isalnum():
+        raise ValueError("a version must be letters, digits, hyphens and underscores")
+    path = f"{folder}/version={version}"
+    spark = docs.sparkSession
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        postings(docs).write.mode("ignore").parquet(path)
+        return spark.read.parquet(path)
+
+
 def term_weights(posted: DataFrame, n_docs: Column | int) -> DataFrame:
     """(term, df, idf): negative weights become a quarter of the mean one."""
     df = posted.groupBy("term").agg(F.count("*").alias("df"))
@@ -144,18 +159,18 @@ def term_weights(posted: DataFrame, n_docs: Column | int) -> DataFrame:
     return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
 
 
-def bm25(docs: DataFrame, questions: DataFrame, k: int = 10) -> DataFrame:
+def bm25(docs: DataFrame, questions: DataFrame, k: int = 10, posted: DataFrame | None = None) -> DataFrame:
     """(query, key, score, rank) of (key, text) by (query, text): Okapi weights, a term counts as often as it is asked.
 
     Documents without any of the terms have score 0 and fill up the k, smallest keys first. Postings are cut, as they
-    serve the statistics and the scores.
+    serve the statistics and the scores, unless kept ones are given.
     """
     from loomquill.session import cut
 
     sizes = docs.select("key", F.size(words(F.lower("text"))).alias("length"))
     totals = sizes.agg(F.count("*").alias("n"), F.sum(F.when(F.col("length") > 0, F.col("length")).otherwise(0)).alias("words")).first()
     n_docs, mean_length = totals["n"], (totals["words"] or 0) / max(1, totals["n"])
-    posted = cut(postings(docs))
+    posted = cut(postings(docs)) if posted is None else posted
     asked = questions.select("query", F.explode(words(F.lower("text"))).alias("term")).groupBy("query", "term").agg(F.count("*").alias("times"))
     wanted = asked.join(term_weights(posted, n_docs), "term")
     tf = F.col("tf")

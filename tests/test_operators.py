@@ -211,6 +211,16 @@ def test_mmr_ties_and_bm25_fill(spark):
     assert {got[(10, r)][0] for r in (1, 2)} <= {1, 2, 4} and len([k for k in got if k[0] == 10]) == 3
 
 
+def test_kept_postings(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b")], "key long, text string")
+    asked = spark.createDataFrame([(9, "a")], "query long, text string")
+    first = retrieval.kept_postings(docs, str(tmp_path), "v1")
+    assert rows(first.select("term", "key", "tf")) == {("a", 1, 2), ("b", 1, 1), ("b", 2, 1)}
+    assert rows(retrieval.kept_postings(docs.limit(0), str(tmp_path), "v1")) == rows(first)
+    assert retrieval.kept_postings(docs.limit(0), str(tmp_path), "v2").count() == 0
+    assert rows(retrieval.bm25(docs, asked, 1, first)) == rows(retrieval.bm25(docs, asked, 1))
+
+
 def test_gate_and_budget(spark):
     cols = "query int, question string, source string, order int, score double"
     low = [(1, "q", "mmr", 1, 0.29), (1, "q", "mmr", 2, 0.1), (1, "q", "bm25", 3, 0.0), (1, "q", "bm25", 4, 0.2)]

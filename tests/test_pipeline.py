@@ -80,6 +80,16 @@ def test_ingest_and_retrieve(spark):
     assert "number 3" in got[1]["value"][0]["document"][0] and "Citation(s):" in got[1]["api"][-1]["content"]
 
 
+def test_stateful_streams(spark, tmp_path):
+    rows = [(f"/p{i % 3}", f"2024-01-01 0{i % 3}:30:00") for i in range(9)]
+    spark.createDataFrame(rows, "path string, t string").write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema("path string, t timestamp").json(str(tmp_path / "in"))
+    for name, df, mode in (("once", jobs.once_per_path(stream), "append"), ("counts", jobs.windowed_counts(stream, "t", "path"), "complete")):
+        df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.table("once").count() == 3
+    assert sorted(r["count"] for r in spark.table("counts").collect()) == [3, 3, 3]
+
+
 def test_streams(spark, tmp_path):
     for d in ("in", "store", "log", "ask", "out"):
         (tmp_path / d).mkdir()
