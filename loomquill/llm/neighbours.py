@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from loomquill.session import cut
 
 DIMENSIONS, K, LEAST, TREES, BLOCK = 64, 10, 0.85, 10, 256
-SEED = 20240229
+SEED, PART_ROWS = 20240229, 200_000
 
 
 def _quantised(dimensions: int):
@@ -142,7 +142,9 @@ def classes(vectors: DataFrame, dimensions: int = DIMENSIONS) -> tuple[DataFrame
 def forest_pairs(one: DataFrame, k: int = K, least: float = LEAST, trees: int = TREES, block: int = BLOCK, dimensions: int = DIMENSIONS) -> DataFrame:
     """(tbl, a, b, cos) with a < b: class pairs that the forest finds, from (tbl, cls, q)."""
     grown = one.select("tbl", "cls", "q").mapInArrow(Trees(trees, dimensions, SEED), "tbl int, tree int, hash long, cls long, q binary")
-    arrays = grown.repartitionByRange("tbl", "tree", "hash", "cls").sortWithinPartitions("tbl", "tree", "hash", "cls")
+    # as many parts as keep PART_ROWS each (some 30 MB), however many vectors there are
+    parts = max(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-one.count() * trees // PART_ROWS))
+    arrays = grown.repartitionByRange(parts, "tbl", "tree", "hash", "cls").sortWithinPartitions("tbl", "tree", "hash", "cls")
     found = arrays.mapInArrow(Search(k, least, block, dimensions), "tbl int, a long, b long, cos float")
     return found.groupBy("tbl", "a", "b").agg(F.max("cos").alias("cos"))
 
