@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomquill.config import EngineConfig
 from loomquill.functions.text import is_procedural
 from loomquill.operators import assembly, chunking, dedupe, embedding, images, retrieval, store
+from loomquill.session import cut
 
 
 def ingest(docs: DataFrame, order: str, config: EngineConfig | None = None, provider=None) -> DataFrame:
@@ -65,7 +66,8 @@ def retrieve(requests: DataFrame, stored: DataFrame, image_rows: DataFrame, conf
     sections = ranked.select("*", *[m[x].alias(f"_{x}") for x in ("source", "page", "h1", "h2", "h3")])
     capped = dedupe.cap_sections(sections, ["query", "_source", "_page", "_h1", "_h2", "_h3"])
     hits = retrieval.regroup(capped, retrieval.section_key(m), F.col("final"), F.col("procedural"))
-    hits = hits.select("query", "question", "rank", "document", "metadata")
+    # some hits per request, which five parts of the reply read: cut, so that the search runs once
+    hits = cut(hits.select("query", "question", "rank", "document", "metadata"))
     merged_pages = assembly.merge_by_page(hits)
     figures = assembly.links(assembly.page_images(merged_pages.select("query", "source", "page", "rank"), image_rows, "key"))
     ordered = hits.groupBy("query", "question").agg(F.array_sort(F.collect_list(F.struct("rank", assembly.snippet(m, F.col("rank"), F.col("document")).alias("block")))).alias("b"))
