@@ -3,11 +3,15 @@
 Each tree hashes a vector to 64 signs of random projections. All hash strings of a tree are sorted over the cluster, so
 the neighbours of a vector in that array are those with the longest common prefixes. The search starts at the vector's
 own place and takes in the positions around it, which is an ascent to shorter prefixes at the same pace in all trees: as
-far as at least one block on either side, however long the prefixes there are. Similarities within a block and the two
-beside it are one matrix product. The trees' best pairs are then put together and ranked.
-
-Every vector is indexed; nothing is fitted. The work is (vectors x trees x three blocks), linear in the vectors. Sorting is
-by range over (tree, hash string, id), so many alike vectors spread over partitions. Equal vectors are one class: it is
+far as at least one block on either side, and on through the whole bucket of those that have the first PREFIX bits in
+common, however many they are. Similarities of a block with what is around it are matrix products by tiles, each row
+keeping its best. The trees' best pairs are then put together and ranked.
+
+Every vector is indexed; nothing is fitted. A pair whose bits differ with probability p is compared with probability
+1 - (1 - (1 - p)**PREFIX)**TREES at least, whatever the number of vectors and however dense its surroundings. The price: the
+work is (vectors x trees x (three blocks + bucket)), and buckets grow with the vectors, in a dense group with the
+group: quadratic there. Buckets are counted first and packed into parts; one of more than MOST rows is cut into chunks and
+sent as many times as it has chunks, so that no task grows with it. Equal vectors are one class: it is
 searched once, and its members, of which any vector needs at most the k + 1 smallest ids, are put back at the end.
 
 Defined results: vectors that are null, of another length, all zero, or with a null, NaN or infinite element take no part;
@@ -28,6 +32,10 @@ from loomquill.session import cut
 
 DIMENSIONS, K, LEAST, TREES, BLOCK = 64, 10, 0.85, 10, 256
 SEED, PART_ROWS = 20240229, 200_000
+#: All vectors with so many first bits of a hash string in common (a bucket) are compared with each other, however many.
+PREFIX = 10
+#: Buckets of more rows are cut into chunks of half as many, and every two chunks are compared as a part of their own.
+MOST, TILE = 40_000, 2048
 
 
 def _quantised(dimensions: int):
@@ -51,10 +59,12 @@ def _quantised(dimensions: int):
 
 
 class Trees:
-    """One row per class and tree: (tree, hash string as a long, class, vector)."""
+    """One row per class, tree and place: (place, array, hash string as a long, class, vector); ``array`` is the number of a
+    collection's tree, ``place`` the part twice, and one more for the second of two chunks. Without ``parts`` the sizes of
+    the buckets: (bucket, n)."""
 
-    def __init__(self, trees: int, dimensions: int, seed: int):
-        self.trees, self.dimensions, self.seed = trees, dimensions, seed
+    def __init__(self, trees: int, dimensions: int, seed: int, parts: Parts | None = None):
+        self.trees, self.dimensions, self.seed, self.parts = trees, dimensions, seed, parts
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(self.seed).standard_normal((self.dimensions, 64 * self.trees)).astype(np.float32)
@@ -62,9 +72,52 @@ class Trees:
             n = len(b)
             v = _vectors(b.column(2), self.dimensions)
             bits = (v @ planes) > 0
-            packed = np.packbits(bits.reshape(n, self.trees, 64), axis=2).view(">i8").reshape(n, self.trees)
+            packed = np.packbits(bits.reshape(n, self.trees, 64), axis=2).view(">i8").reshape(n, self.trees).astype(np.int64)
+            array = np.asarray(b.column(0)).astype(np.int64)[:, None] * self.trees + np.arange(self.trees)
+            if self.parts is None:
+                bucket, many = np.unique(_buckets(array, packed), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(many)], names=["bucket", "n"])
+                continue
             for t in range(self.trees):
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(n, t, dtype=np.int32)), pa.array(packed[:, t].astype(np.int64)), b.column(1), b.column(2)], names=["tbl", "tree", "hash", "cls", "q"])
+                row, place = self.parts.places(_buckets(array[:, t], packed[:, t]), np.asarray(b.column(1)))
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(array[row, t]), pa.array(packed[row, t]), b.column(1).take(at), b.column(2).take(at)], names=["place", "array", "hash", "cls", "q"])
+
+
+def _buckets(array: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of (array, first PREFIX bits), in the order of (array, hash)."""
+    return (array << PREFIX) + (hashes >> (64 - PREFIX)) + (1 << (PREFIX - 1))
+
+
+class Parts:
+    """Which parts of the forest a bucket's rows go to: several buckets share a part, and one of more than ``most`` rows is cut
+    into chunks, with a part for each chunk and for every two of them, so that all its pairs still meet."""
+
+    def __init__(self, buckets: np.ndarray, sizes: np.ndarray, rows: int, most: int):
+        order = np.argsort(buckets)
+        self.buckets, sizes = buckets[order], sizes[order]
+        self.chunks = np.where(sizes > most, -(-2 * sizes // most), 1)
+        self.first = np.zeros(len(sizes), dtype=np.int64)
+        at, filled = -1, rows
+        for i, (n, c) in enumerate(zip(sizes.tolist(), self.chunks.tolist(), strict=True)):
+            if c > 1:
+                self.first[i], at, filled = at + 1, at + c * (c + 1) // 2, rows
+            else:
+                if filled + n > rows:
+                    at, filled = at + 1, 0
+                self.first[i], filled = at, filled + n
+        self.count = at + 1
+
+    def places(self, bucket: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, place): rows of a cut bucket come once for each of its chunks."""
+        i = np.searchsorted(self.buckets, bucket)
+        first, chunks = self.first[i], self.chunks[i]
+        row = np.repeat(np.arange(len(bucket)), chunks)
+        other = np.arange(len(row)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        mixed = cls.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        own = ((mixed >> np.uint64(33)) % chunks.astype(np.uint64)).astype(np.int64)[row]
+        low, high = np.minimum(own, other), np.maximum(own, other)
+        return row, 2 * (first[row] + high * (high + 1) // 2 + low) + (own > other)
 
 
 def _vectors(column: pa.Array, dimensions: int) -> np.ndarray:
@@ -79,53 +132,76 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """Reads a sorted part of the forest block by block and gives the pairs in which one is among the k best of the other."""
+    """Reads the sorted parts of the forest and gives the pairs in which one is among the k best of the other."""
 
-    def __init__(self, k: int, least: float, block: int, dimensions: int):
-        self.k, self.least, self.block, self.dimensions = k, least, block, dimensions
+    def __init__(self, k: int, least: float, block: int, dimensions: int, trees: int):
+        self.k, self.least, self.block, self.dimensions, self.trees = k, least, block, dimensions, trees
 
-    def blocks(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        held = 0
+    def parts(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(second chunk or not, array, hash, class, unit vector) of each part."""
+        held: list[tuple[np.ndarray, ...]] = []
         for b in batches:
-            tables.append((np.asarray(b.column(0)), np.asarray(b.column(3)), _unit(_vectors(b.column(4), self.dimensions))))
-            held += len(b)
-            if held >= self.block:
-                tbl, cls, v = (np.concatenate(x) for x in zip(*tables, strict=True))
-                whole = held // self.block * self.block
-                for at in range(0, whole, self.block):
-                    yield tbl[at : at + self.block], cls[at : at + self.block], v[at : at + self.block]
-                tables, held = [(tbl[whole:], cls[whole:], v[whole:])], held - whole
+            place = np.asarray(b.column(0))
+            columns = (place, *(np.asarray(b.column(i)) for i in (1, 2, 3)), _unit(_vectors(b.column(4), self.dimensions)))
+            for x in np.split(np.arange(len(b)), np.flatnonzero(np.diff(place >> 1)) + 1):
+                if len(x) and held and held[-1][0][-1] >> 1 != place[x[0]] >> 1:
+                    yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+                    held = []
+                if len(x):
+                    held.append(tuple(c[x[0] : x[-1] + 1] for c in columns))
         if held:
-            yield tuple(np.concatenate(x) for x in zip(*tables, strict=True))
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
     def best(self, mine, around) -> pa.RecordBatch | None:
         tbl, cls, v = mine
-        tbls, others, w = (np.concatenate(x) for x in zip(*around, strict=True))
-        s = v @ w.T
-        row, col = np.nonzero(s >= self.least)
-        ok = (cls[row] != others[col]) & (tbl[row] == tbls[col])
-        row, col = row[ok], col[ok]
+        floor = np.full(len(v), self.least, dtype=np.float32)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for at in range(0, len(around[0]), TILE):
+            tbls, others, w = (x[at : at + TILE] for x in around)
+            s = v @ w.T
+            near = s >= floor[:, None]
+            if np.count_nonzero(near) > 4 * self.k * len(v) and len(w) > self.k + 1 and tbl[0] == tbl[-1] == tbls[0] == tbls[-1]:
+                # so many are alike that most can't be among the k best (and oneself)
+                floor = np.maximum(floor, np.partition(s, -self.k - 1, axis=1)[:, -self.k - 1])
+                near = s >= floor[:, None]
+            row, col = np.divmod(np.flatnonzero(near), len(w))
+            ok = (cls[row] != others[col]) & (tbl[row] == tbls[col])
+            row, col = row[ok], col[ok]
+            found.append((row, others[col], s[row, col]))
+        row, other, cos = (np.concatenate(x) for x in zip(*found, strict=True))
         if not len(row):
             return None
-        cos = s[row, col]
-        order = np.lexsort((others[col], -cos, row))
-        row, col, cos = row[order], col[order], cos[order]
+        order = np.lexsort((other, -cos, row))
+        row, other, cos = row[order], other[order], cos[order]
         first = np.concatenate(([True], row[1:] != row[:-1]))
         rank = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
-        row, col, cos = row[rank < self.k], col[rank < self.k], cos[rank < self.k]
-        a, b = np.minimum(cls[row], others[col]), np.maximum(cls[row], others[col])
+        row, other, cos = row[rank < self.k], other[rank < self.k], cos[rank < self.k]
+        a, b = np.minimum(cls[row], other), np.maximum(cls[row], other)
         _, once = np.unique(np.stack([tbl[row].astype(np.int64), a, b]), axis=1, return_index=True)
-        return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (tbl[row], a, b, cos)], names=["tbl", "a", "b", "cos"])
+        return pa.RecordBatch.from_arrays([pa.array(x[once]) for x in (tbl[row].astype(np.int32), a, b, cos)], names=["tbl", "a", "b", "cos"])
+
+    def searched(self, part) -> Iterator[pa.RecordBatch | None]:
+        place, array, hashes, cls, v = part
+        rows = (array // self.trees, cls, v)
+        second = int(np.searchsorted(place & 1, 1))
+        if second < len(cls):  # two chunks of a bucket: only what is between them
+            for a, b in ((slice(None, second), slice(second, None)), (slice(second, None), slice(None, second))):
+                mine, around = tuple(x[a] for x in rows), tuple(x[b] for x in rows)
+                for at in range(0, len(mine[0]) if len(around[0]) else 0, self.block):
+                    yield self.best(tuple(x[at : at + self.block] for x in mine), around)
+            return
+        bucket = _buckets(array, hashes)
+        for at in range(0, len(cls), self.block):
+            end = min(at + self.block, len(cls))
+            low = min(max(0, at - self.block), int(np.searchsorted(bucket, bucket[at])))
+            high = max(end + self.block, int(np.searchsorted(bucket, bucket[end - 1], "right")))
+            yield self.best(tuple(x[at:end] for x in rows), tuple(x[low:high] for x in rows))
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = now = None
-        for after in self.blocks(batches):
-            if now is not None and (found := self.best(now, [x for x in (before, now, after) if x is not None])) is not None:
-                yield found
-            before, now = now, after
-        if now is not None and (found := self.best(now, [x for x in (before, now) if x is not None])) is not None:
-            yield found
+        for part in self.parts(batches):
+            for found in self.searched(part):
+                if found is not None:
+                    yield found
 
 
 def classes(vectors: DataFrame, dimensions: int = DIMENSIONS) -> tuple[DataFrame, DataFrame]:
@@ -141,11 +217,16 @@ def classes(vectors: DataFrame, dimensions: int = DIMENSIONS) -> tuple[DataFrame
 
 def forest_pairs(one: DataFrame, k: int = K, least: float = LEAST, trees: int = TREES, block: int = BLOCK, dimensions: int = DIMENSIONS) -> DataFrame:
     """(tbl, a, b, cos) with a < b: class pairs that the forest finds, from (tbl, cls, q)."""
-    grown = one.select("tbl", "cls", "q").mapInArrow(Trees(trees, dimensions, SEED), "tbl int, tree int, hash long, cls long, q binary")
+    forest = one.select("tbl", "cls", "q")
+    # one row for each of trees * 2**PREFIX buckets a collection, however many vectors there are
+    counted = forest.mapInArrow(Trees(trees, dimensions, SEED), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    sizes = counted["n"].to_numpy(dtype=np.int64)
     # as many parts as keep PART_ROWS each (some 30 MB), however many vectors there are
-    parts = max(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-one.count() * trees // PART_ROWS))
-    arrays = grown.repartitionByRange(parts, "tbl", "tree", "hash", "cls").sortWithinPartitions("tbl", "tree", "hash", "cls")
-    found = arrays.mapInArrow(Search(k, least, block, dimensions), "tbl int, a long, b long, cos float")
+    least_parts = max(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    parts = Parts(counted["bucket"].to_numpy(dtype=np.int64), sizes, min(PART_ROWS, -(-int(sizes.sum()) // least_parts)), MOST)
+    grown = forest.mapInArrow(Trees(trees, dimensions, SEED, parts), "place long, array long, hash long, cls long, q binary")
+    arrays = grown.repartitionById(max(parts.count, 1), F.shiftright("place", 1).cast("int")).sortWithinPartitions("place", "array", "hash", "cls")
+    found = arrays.mapInArrow(Search(k, least, block, dimensions, trees), "tbl int, a long, b long, cos float")
     return found.groupBy("tbl", "a", "b").agg(F.max("cos").alias("cos"))
 
 

@@ -116,6 +116,24 @@ def test_equal_vectors_rank_by_key(spark):
     assert got == {(i, j) for i in range(40) for j in [k for k in range(40) if k != i][:10]}
 
 
+def near_copies(seed, n, noise):
+    rng = np.random.default_rng(seed)
+    v = (rng.standard_normal(64) + noise * rng.standard_normal((n, 64))).astype(np.float32)
+    u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    return v, {(i, int(j)) for i in range(n) for j in np.argsort(-s[i])[:10] if s[i, j] >= 0.85}
+
+
+@pytest.mark.parametrize("most", [neighbours.MOST, 700])
+def test_group_of_unequal_near_copies_larger_than_the_window(spark, monkeypatch, most):
+    monkeypatch.setattr(neighbours, "MOST", most)  # 700: buckets are cut into chunks
+    v, want = near_copies(11, 3000, 0.15)
+    df = spark.createDataFrame([(0, i, r.tolist()) for i, r in enumerate(v)], "tbl int, key long, vector array<float>")
+    got = {(r["key"], r["other"]) for r in neighbours.nearest(df, block=32).collect()}
+    assert len(want) == 30_000 and len(got & want) / len(want) >= 0.99
+
+
 # --- scanned pages ---------------------------------------------------------------------------------------------------
 
 
