@@ -4,12 +4,13 @@ A text's signature has COORDINATES values, each made of three min-hashes over it
 similarity s agree in a coordinate with probability s cubed, and phrases that many texts share hardly ever make a list. Texts are posted under each (coordinate, value); lists are
 counted after a map-side combine, and lists of one text go. Of its lists of more than LIST_SHORT texts a text leaves out
 the longest, AGREE - 1 at most: two texts that agree in AGREE coordinates still meet in a list that both keep (the
-prefix). Kept lists are merged and collisions counted; the others are not merged but skipped: a pair that could reach AGREE
-only by them is not dropped. Pairs with AGREE collisions, certain or possible, are compared exactly on their sets of runs.
+prefix). The texts that keep a list meet all of it; what two texts both leave out is counted when they meet elsewhere. So
+collisions are counted in full, and pairs with AGREE of them are compared exactly on their sets of runs.
 
 Texts with equal word sequences form one class before anything is posted, so copies cost one row per task. Lists of more
-than LIST_BLOCK texts are joined in blocks of that size: no task holds a whole list. With 32 coordinates and 3 agreements
-a pair of similarity 0.65 is missed with probability 3e-3, one of 0.7 with 2e-4, one of 0.75 with 1e-5.
+than LIST_BLOCK texts are joined in blocks of that size: no task holds a whole list. With 44 coordinates and 2 agreements
+a pair of similarity 0.6 is missed with probability 3e-4, one of 0.65 with 1e-5, one of 0.7 with 2e-7. Values are kept in VALUE
+bytes: by those that are equal by chance a pair is only compared for nothing.
 
 Defined results: words are maximal runs of letters and digits in lower case; null texts and texts with fewer words than a
 run has none and are alike to nothing; rows repeated under one key are one record (of unequal ones each text counts);
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from loomquill.session import cut
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
-COORDINATES, JOINED, AGREE, LIST_SHORT, LIST_BLOCK = 32, 3, 3, 200, 2000
+COORDINATES, JOINED, AGREE, VALUE, LIST_SHORT, LIST_BLOCK = 44, 3, 2, 5, 200, 2000
 #: Up to this many texts in candidate pairs, their keys (some 30 bytes each) are broadcast to the scan of the texts.
 MOST_WANTED = 300_000
 #: Classes of equal texts up to this size are written out as pairs; larger ones as pairs with their smallest member.
@@ -79,7 +80,7 @@ def _words(texts: list[str | None]) -> list[list[str]]:
 
 
 class Signatures:
-    """(tbl, key, h1, h2, coordinate values s0...) of the texts that have runs; h1 and h2 name the word sequence."""
+    """(tbl, key, h1, h2, coordinate values) of the texts that have runs; h1 and h2 name the word sequence."""
 
     def __init__(self, run: int):
         self.run = run
@@ -103,7 +104,20 @@ class Signatures:
                 names = [xxhash.xxh128_digest(" ".join(words[i]).encode("utf-8", "surrogatepass")) for i in kept]
                 h = np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
                 rows = pa.array(kept)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), *[pa.array(p.view(np.int64)) for p in values]], names=["tbl", "key", "h1", "h2", *[f"s{i}" for i in range(COORDINATES)]])
+                low = np.ascontiguousarray(values.T).astype("<u8").view(np.uint8).reshape(len(kept), COORDINATES, 8)[:, :, :VALUE]
+                raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(VALUE * COORDINATES), len(kept), [None, pa.py_buffer(low.tobytes())]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), raw], names=["tbl", "key", "h1", "h2", "coordinates"])
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, post) for each coordinate of (node, tbl, coordinates): a value belongs to one collection."""
+    for whole in batches:
+        for at in range(0, len(whole), 2000):
+            b = whole.slice(at, 2000)
+            values = np.zeros((len(b), COORDINATES, 8), dtype=np.uint8)
+            values[:, :, :VALUE] = np.frombuffer(b"".join(b.column(2).to_pylist()), dtype=np.uint8).reshape(len(b), COORDINATES, VALUE)
+            post = values.view("<i8")[:, :, 0] ^ np.asarray(b.column(1)).astype(np.int64)[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray(b.column(0)), COORDINATES)), pa.array(post.ravel())], names=["node", "post"])
 
 
 class RunSets:
@@ -120,7 +134,7 @@ class RunSets:
             yield pd.DataFrame({"tbl": f["tbl"], "cls": f["cls"], "runs": sets})
 
 
-SIGNATURE = "tbl int, key long, h1 long, h2 long, " + ", ".join(f"s{i} long" for i in range(COORDINATES))
+SIGNATURE = "tbl int, key long, h1 long, h2 long, coordinates binary"
 
 
 def signatures(texts: DataFrame, run: int) -> DataFrame:
@@ -128,9 +142,9 @@ def signatures(texts: DataFrame, run: int) -> DataFrame:
 
 
 def class_table(signed: DataFrame) -> DataFrame:
-    """(tbl, h1, h2, cls, many, s0...): one row per distinct word sequence, cls its smallest key."""
-    same = [F.max(f"s{i}").alias(f"s{i}") for i in range(COORDINATES)]  # equal in a class
-    return signed.groupBy("tbl", "h1", "h2").agg(F.min("key").alias("cls"), (F.min("key") < F.max("key")).alias("many"), *same)
+    """(tbl, h1, h2, cls, many, coordinates): one row per distinct word sequence, cls its smallest key."""
+    same = F.max("coordinates").alias("coordinates")  # equal in a class
+    return signed.groupBy("tbl", "h1", "h2").agg(F.min("key").alias("cls"), (F.min("key") < F.max("key")).alias("many"), same)
 
 
 def node(tbl: Column, key: Column) -> Column:
@@ -139,21 +153,22 @@ def node(tbl: Column, key: Column) -> Column:
 
 
 def candidates(one: DataFrame, agree: int = AGREE) -> DataFrame:
-    """(tbl, a, b): class pairs with ``agree`` collisions, or as many as the lists left out may add to, from the class table."""
-    # a value belongs to one collection and, by its making, to one coordinate
-    values = F.array(*[F.col(f"s{i}") for i in range(COORDINATES)])
-    posted = one.select(node(F.col("tbl"), F.col("cls")).alias("node"), F.explode(F.transform(values, lambda v: v.bitwiseXOR(F.col("tbl").cast("long")))).alias("post"))
+    """(tbl, a, b): class pairs with ``agree`` collisions, from the class table."""
+    posted = one.select(node(F.col("tbl"), F.col("cls")).alias("node"), "tbl", "coordinates").mapInArrow(_postings, "node long, post long")
     sizes = posted.groupBy("post").agg(F.count("*").alias("n")).where("n > 1")
     met = posted.join(sizes, "post")
     # the prefix: short lists, and of the others all but the agree - 1 longest; a text has COORDINATES of them at most
     own = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("own")).where(F.size("own") >= agree)
-    prefix = F.filter("own", lambda x, i: (x["n"] <= LIST_SHORT) | (i <= F.size("own") - agree))
-    kept = own.select("node", prefix.alias("kept"), (F.size("own") - F.size(prefix)).alias("skipped")).select("node", "skipped", F.explode("kept").alias("x"))
+    flagged = F.transform("own", lambda x, i: F.struct(x["n"].alias("n"), x["post"].alias("post"), ((x["n"] <= LIST_SHORT) | (i <= F.size("own") - agree)).alias("kept")))
+    out = F.transform(F.filter(flagged, lambda x: ~x["kept"]), lambda x: x["post"])
+    lists = own.select("node", out.alias("out"), F.explode(flagged).alias("x"))
     blocks = F.ceil(F.col("x.n") / LIST_BLOCK).cast("int")
-    left = kept.select("x.post", F.pmod(F.hash("node"), blocks).alias("block"), F.col("node").alias("a"), F.col("skipped").alias("skipped_a"))
-    right = kept.select("x.post", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("skipped").alias("skipped_b"))
-    pairs = left.join(right, ["post", "block"]).where("a < b").select("a", "b", (F.col("skipped_a") + F.col("skipped_b")).alias("skipped"))
-    enough = pairs.groupBy("a", "b").agg((F.count("*") + F.max("skipped")).alias("most")).where(F.col("most") >= agree)
+    left = lists.where("x.kept").select("x.post", F.pmod(F.hash("node"), blocks).alias("block"), F.col("node").alias("a"), F.col("out").alias("out_a"))
+    right = lists.select("x.post", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("x.kept").alias("both"), F.col("out").alias("out_b"))
+    # a list that both leave out makes no pair, but counts for pairs that meet elsewhere
+    met = left.join(right, ["post", "block"]).where("a < b or (not both and a != b)")
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.size(F.array_intersect("out_a", "out_b")).alias("more"))
+    enough = pairs.groupBy("a", "b").agg((F.count("*") + F.max("more")).alias("all")).where(F.col("all") >= agree)
     return enough.select(F.pmod("a", F.lit(16)).cast("int").alias("tbl"), F.shiftright("a", 4).alias("a"), F.shiftright("b", 4).alias("b"))
 
 

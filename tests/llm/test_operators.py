@@ -60,6 +60,18 @@ def test_near_duplicates_against_brute_force(spark):
     assert both.where("tbl = 0 and key < 900").select("key").distinct().count() == len(texts)
 
 
+def test_pairs_just_above_the_least_similarity_are_found(spark):
+    rng = random.Random(8)
+    table = []
+    for i in range(2000):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        copy = [f"x{w}" if k in (5, 18, 31) else w for k, w in enumerate(base)]
+        table += [(0, 2 * i, " ".join(base)), (0, 2 * i + 1, " ".join(copy))]
+    assert 0.61 < alike(table[0][2], table[1][2], 3) < 0.62
+    df = spark.createDataFrame(table, "tbl int, key long, text string")
+    assert len(rows(neardup.alike_pairs(df, 0.6, 3)) & {(0, 2 * i, 2 * i + 1) for i in range(2000)}) >= 1998
+
+
 def test_large_class_of_copies_becomes_a_star(spark):
     df = spark.createDataFrame([(0, i, "one two three four five six seven") for i in range(30)], "tbl int, key long, text string")
     assert rows(neardup.alike_pairs(df, paired=10)) == {(0, 0, i) for i in range(1, 30)}
