@@ -61,7 +61,7 @@ def retrieve(requests: DataFrame, stored: DataFrame, image_rows: DataFrame, conf
         merged = dedupe.first_rows(merged, {"_q": F.col("query"), "_k": F.col("key")}, [F.col("order")], merged.columns)
     full = merged.join(stored.select("key", "document", "metadata"), "key").join(asked.select("query", "question", procedural.alias("procedural"), final.alias("final")), "query")
     scored = full.withColumn("score", F.round(retrieval.overlap_score(F.col("question"), F.col("document")), 9))
-    ranked = retrieval.gate(scored, 6).where((F.coalesce(F.col("question"), F.lit("")) == "") | (F.col("rank") <= F.col("final")))
+    ranked = retrieval.gate(scored, max(6, config.top_k)).where((F.coalesce(F.col("question"), F.lit("")) == "") | (F.col("rank") <= F.col("final")))
     m = F.col("metadata")
     sections = ranked.select("*", *[m[x].alias(f"_{x}") for x in ("source", "page", "h1", "h2", "h3")])
     capped = dedupe.cap_sections(sections, ["query", "_source", "_page", "_h1", "_h2", "_h3"])

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from loomquill.config import EngineConfig
 from loomquill.operators import embedding
 from loomquill.plans.pipeline import ingest, retrieve
 from loomquill.schema import META_DDL
@@ -80,6 +81,18 @@ def test_ingest_and_retrieve(spark):
     assert "number 3" in got[1]["value"][0]["document"][0] and "Citation(s):" in got[1]["api"][-1]["content"]
 
 
+def test_retrieve_gives_as_many_hits_as_configured(spark):
+    table = [(i, f"The pump number {i} must be cleaned every week by the operator.", "/m.pdf", i) for i in range(1, 15)]
+    df = spark.createDataFrame(table, "ord long, page_content string, s string, p int")
+    m = F.from_json(F.lit("{}"), META_DDL).withField("source", F.col("s")).withField("page", F.col("p"))
+    keyed = ingest(df.select("ord", "page_content", m.alias("metadata")), "ord").withColumn("key", F.xxhash64("id"))
+    asked = spark.createDataFrame([(1, "pump cleaned every week by the operator")], "request_id long, message string")
+    requests = asked.withColumn("embeddings", embedding.encoder()(F.col("message"))).withColumn("api", F.array().cast("array<struct<role:string,content:string>>"))
+    pictures = spark.createDataFrame([], "key long, source string, page int, image_path string")
+    got = retrieve(requests, keyed, pictures, EngineConfig(top_k=10)).first()
+    assert sum(len(v["document"]) for v in got["value"]) == 10
+
+
 def test_stateful_streams(spark, tmp_path):
     rows = [(f"/p{i % 3}", f"2024-01-01 0{i % 3}:30:00") for i in range(9)]
     spark.createDataFrame(rows, "path string, t string").write.json(str(tmp_path / "in"))
