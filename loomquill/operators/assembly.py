@@ -11,28 +11,30 @@ from pyspark.sql import types as T
 
 from loomquill.functions.text import basename, shorten, strip
 
+#: The metadata flags a label shows, in this order.
 FLAGS = ("table_md", "table_json", "table_row", "chartqa", "ocr", "caption")
-#: Our wording of the instructions; the answer may use the sources only and must end with citations.
+#: The default instructions of a prompt, a parameter of ``prompt``.
 INSTRUCTIONS = (
-    "Answer the question from the sources below and from nothing else.",
-    "Leave out inline references such as (Source 1).",
-    "Close with a section 'Citation(s):' that names every source and page you used.",
-    "If there is a list 'Related figure(s)', repeat its lines unchanged and add no other links.",
-    "Without such a list, write no file:// links at all.",
+    "Numbered excerpts of documents follow the question. They are all you know: what they don't say, you don't say either.",
+    "End with the heading 'Citation(s):' and, below it, one line for each document and page that your answer rests on; the text itself stays free of source numbers.",
+    "Links to files come from the block 'Related figure(s)' only. Where that block exists, carry its lines over as they stand; where it doesn't, give no link.",
 )
-GUARD = "Use file:// links only from a 'Related figure(s)' list in the user's message; without one, use none."
-FIGURE_GUARD = "Copy the lines of the 'Related figure(s)' list unchanged; add no links or placeholders."
+GUARD = "The only file:// links allowed are those listed under 'Related figure(s)' in the user's message, if it has that list."
+FIGURE_GUARD = "This request has a 'Related figure(s)' list: its lines belong into the answer, character by character."
 
 
 def _name(m: Column) -> Column:
+    """The document's name, or the image's where there is no document."""
     return F.coalesce(F.nullif(basename(F.coalesce(F.nullif(m["source"], F.lit("")), m["image_path"])), F.lit("")), F.lit("unknown"))
 
 
 def label(m: Column, number: Column) -> Column:
-    """'Source 3: name.pdf (from image) (flag/flag) (page 2)'."""
-    from_image = m["image_path"].isNotNull() & (F.coalesce(m["caption"], F.lit(False)) | F.coalesce(m["ocr"], F.lit(False)) | F.coalesce(m["chartqa"], F.lit(False)))
+    """'Source 3: name.pdf (flag/flag) (page 2)'; for text read from an image 'Source 3: image.png (from image) ...'."""
+    read = F.coalesce(m["caption"], F.lit(False)) | F.coalesce(m["ocr"], F.lit(False)) | F.coalesce(m["chartqa"], F.lit(False))
+    from_image = F.coalesce(m["image_path"] != "", F.lit(False)) & read
+    name = F.when(from_image, F.coalesce(F.nullif(basename(m["image_path"]), F.lit("")), F.lit("unknown"))).otherwise(_name(m))
     flags = F.array_join(F.filter(F.array(*[F.when(m[f], f) for f in FLAGS]), lambda x: x.isNotNull()), "/")
-    return F.concat(F.lit("Source "), number.cast("string"), F.lit(": "), _name(m), F.when(from_image, " (from image)").otherwise(""), F.when(flags != "", F.concat(F.lit(" ("), flags, F.lit(")"))).otherwise(""), F.when(m["page"].isNotNull(), F.concat(F.lit(" (page "), m["page"].cast("string"), F.lit(")"))).otherwise(""))
+    return F.concat(F.lit("Source "), number.cast("string"), F.lit(": "), name, F.when(from_image, " (from image)").otherwise(""), F.when(flags != "", F.concat(F.lit(" ("), flags, F.lit(")"))).otherwise(""), F.when(m["page"].isNotNull(), F.concat(F.lit(" (page "), m["page"].cast("string"), F.lit(")"))).otherwise(""))
 
 
 def snippet(m: Column, number: Column, document: Column, width: int = 600) -> Column:
@@ -85,8 +87,8 @@ def links(images: DataFrame) -> DataFrame:
 
 
 def citation(m: Column) -> Column:
-    """'- name, page N'."""
-    return F.concat(F.lit("- "), _name(m), F.when(m["page"].isNotNull(), F.concat(F.lit(", page "), m["page"].cast("string"))).otherwise(""))
+    """'name, page N'."""
+    return F.concat(_name(m), F.when(m["page"].isNotNull(), F.concat(F.lit(", page "), m["page"].cast("string"))).otherwise(""))
 
 
 def citation_struct(m: Column) -> Column:
@@ -108,9 +110,9 @@ def figure_lines(images: DataFrame, most: int = 8) -> DataFrame:
     return own.select("query", F.transform(F.slice("x", 1, most), lambda x: x["line"]).alias("figures"))
 
 
-def prompt(question: Column, blocks: Column, lines: Column, figures: Column | None = None) -> Column:
+def prompt(question: Column, blocks: Column, lines: Column, figures: Column | None = None, instructions: tuple[str, ...] = INSTRUCTIONS) -> Column:
     """Instructions, the question, the sources' snippets, figures if any, and the citations."""
-    parts = [F.lit(x) for x in INSTRUCTIONS] + [F.lit(""), F.concat(F.lit("Question: "), F.coalesce(question, F.lit(""))), F.lit(""), F.array_join(blocks, "\n"), F.lit("")]
+    parts = [F.lit(x) for x in instructions] + [F.lit(""), F.concat(F.lit("Question: "), F.coalesce(question, F.lit(""))), F.lit(""), F.array_join(blocks, "\n"), F.lit("")]
     if figures is not None:
         parts.append(F.when(F.size(figures) > 0, F.concat(F.lit("Related figure(s):\n"), F.array_join(figures, "\n"), F.lit("\n"))))
     return F.concat_ws("\n", *parts, F.lit("Citation(s):\n"), F.array_join(lines, "\n"))
@@ -128,11 +130,14 @@ def api_messages(api: Column, context: Column, has_images: Column) -> Column:
 
 
 def envelope(requests: DataFrame, merged: DataFrame, images: DataFrame, prompts: DataFrame) -> DataFrame:
-    """One reply per request, none lost: status 'ok', or why there is none."""
+    """One reply per request, none lost: status 'ok', or why there is none. A request's ``metadata``, if it has such a
+    column (MAP<STRING, STRING>), comes back with the reply."""
+    if "metadata" not in requests.columns:
+        requests = requests.withColumn("metadata", F.create_map().cast("map<string,string>"))
     docs = merged.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("rank", "text", "metadata"))).alias("m"))
     docs = docs.select("query", F.array(F.struct(F.transform("m", lambda x: x["text"]).alias("document"), F.transform("m", lambda x: x["metadata"]).alias("metadata"))).alias("value"), F.transform("m", lambda x: citation_struct(x["metadata"])).alias("citations"))
     figures = images.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "source", "page", "image_path", "abs_path", "file_url", "filename", "md_link"))).alias("images"))
-    joined = requests.join(docs, requests["request_id"] == docs["query"], "left").drop("query").join(figures.withColumnRenamed("query", "request_id"), "request_id", "left").join(prompts.select(F.col("query").alias("request_id"), "prompt"), "request_id", "left")
+    joined = requests.select("request_id", "message", "embeddings", "api", F.col("metadata").alias("request_metadata")).join(docs, requests["request_id"] == docs["query"], "left").drop("query").join(figures.withColumnRenamed("query", "request_id"), "request_id", "left").join(prompts.select(F.col("query").alias("request_id"), "prompt"), "request_id", "left")
     status = F.when(F.col("embeddings").isNull(), "no embeddings").when(F.col("value").isNull(), "no candidates").otherwise("ok")
     has = F.coalesce(F.size("images") > 0, F.lit(False))
-    return joined.select("request_id", F.col("request_id").alias("requestId"), F.lit("vector_search_result").alias("type"), status.alias("status"), "value", "message", api_messages(F.col("api"), F.col("prompt"), has).alias("api"), "citations", "images")
+    return joined.select("request_id", F.col("request_id").alias("requestId"), F.lit("vector_search_result").alias("type"), status.alias("status"), "value", "message", F.coalesce("request_metadata", F.create_map().cast("map<string,string>")).alias("metadata"), api_messages(F.col("api"), F.col("prompt"), has).alias("api"), "citations", "images")

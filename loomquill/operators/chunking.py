@@ -182,10 +182,18 @@ def pack_sentences(tag: str, body: str, cap: int = EMBEDDER_CAP, tokens: Tokens
 
 
 def trim_tokens(text: str, most: int, tokens: Tokens = regex_tokenizer, step: int = 50) -> str:
-    """Drops the last ``step`` characters until at most ``most`` tokens are left."""
-    while text and len(tokens(text)) > most:
-        text = text[:-step]
-    return text
+    """Drops the last ``step`` characters, as often as needed, until at most ``most`` tokens are left.
+
+    A prefix never has more tokens than the whole, so the number of steps is found by bisection: the text is read some
+    twenty times at most, not once for every step.
+    """
+    if len(tokens(text)) <= most:
+        return text
+    low, high = 0, -(-len(text) // step)  # steps that are too few, and enough
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (low, middle) if len(tokens(text[: len(text) - middle * step])) <= most else (middle, high)
+    return text[: max(0, len(text) - high * step)]
 
 
 def _slices(text: str, most: int, tokens: Tokens) -> list[str]:

@@ -5,6 +5,7 @@ Every table of hits is keyed by the request, so one plan serves a whole batch or
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +32,14 @@ def normalise(v: Column) -> Column:
 
 
 class TopN:
-    """The n nearest of a partition's vectors for each query of a block: (query, key, measure)."""
+    """The n nearest of a partition's vectors, per part of the corpus, for each query of a block: (query, part, key, measure)."""
 
-    def __init__(self, queries, n: int, cosine: bool):
-        self.queries, self.n, self.cosine = queries, n, cosine
+    def __init__(self, queries, n: int, cosine: bool, at_once: int = 256):
+        self.queries, self.n, self.cosine, self.at_once = queries, n, cosine, at_once
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, q = self.queries.value
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0), np.zeros(0, dtype=np.int64)) for _ in names]
+        best: dict[tuple[int, str | None], tuple[np.ndarray, ...]] = {}  # by first query and part: query, key, measure
         for b in batches:
             lists = b.column(1)
             keep = np.flatnonzero(np.asarray(pa.compute.fill_null(pa.compute.equal(pa.compute.list_value_length(lists), q.shape[1]), False)))
@@ -46,36 +47,56 @@ class TopN:
                 continue
             v = np.array(pa.compute.fill_null(lists.take(pa.array(keep)).flatten().cast(pa.float64()), float("nan"))).reshape(-1, q.shape[1])
             good = np.isfinite(v).all(axis=1)
-            v, keys = v[good], np.asarray(b.column(0).cast(pa.int64()))[keep[good]]
+            v, keep = v[good], keep[good]
+            keys, parts = np.asarray(b.column(0).cast(pa.int64()))[keep], np.array(b.column(2).take(pa.array(keep)).to_pylist(), dtype=object)
             if self.cosine:
                 v = v / (np.sqrt((v * v).sum(axis=1, keepdims=True)) + 1e-12)
-            for i, row in enumerate(q):
-                m = 1 - v @ row if self.cosine else ((v - row) ** 2).sum(axis=1)
-                m, k = np.concatenate((best[i][0], np.round(m, 9))), np.concatenate((best[i][1], keys))
-                order = np.lexsort((k, m))[: self.n]
-                best[i] = m[order], k[order]
-        for name, (m, k) in zip(names, best, strict=True):
-            if len(m):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), name)), pa.array(k), pa.array(1 - m if self.cosine else m)], names=["query", "key", "measure"])
-
-
-def nearest(corpus: DataFrame, queries: DataFrame, n: int, cosine: bool = False, block: int = QUERY_BLOCK) -> DataFrame:
+            for part in set(parts.tolist()):
+                own = np.flatnonzero(parts == part)
+                w, k = v[own], keys[own]
+                length = (w * w).sum(axis=1)
+                for at in range(0, len(q), self.at_once):
+                    some = q[at : at + self.at_once]
+                    m = 1 - some @ w.T if self.cosine else np.maximum((some * some).sum(axis=1)[:, None] + length - 2 * (some @ w.T), 0)
+                    best[at, part] = self.better(best.get((at, part)), np.round(m, 9), k)
+        for (at, part), (query, key, m) in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array(names[at + query]), pa.array([part] * len(key), pa.string()), pa.array(key), pa.array(1 - m if self.cosine else m)], names=["query", "part", "key", "measure"])
+
+    def better(self, held: tuple[np.ndarray, ...] | None, m: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The n best of each query among those held and the new ones, smaller keys first among equal ones."""
+        if len(keys) > self.n:
+            row, col = np.nonzero((m <= np.partition(m, self.n - 1, axis=1)[:, self.n - 1 : self.n]) & (m < np.inf))
+        else:
+            row, col = np.divmod(np.arange(m.size), len(keys))
+        found = (row, keys[col], m[row, col])
+        if held is not None:
+            found = tuple(np.concatenate(x) for x in zip(held, found, strict=True))
+        order = np.lexsort((found[1], found[2], found[0]))
+        row, key, m = (x[order] for x in found)
+        first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+        rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+        return tuple(x[rank < self.n] for x in (row, key, m))
+
+
+def nearest(corpus: DataFrame, queries: DataFrame, n: int, cosine: bool = False, block: int = QUERY_BLOCK, part: str | None = None) -> DataFrame:
     """(query, key, measure, rank): for each query vector the n nearest of the corpus by squared L2 distance, or cosine.
 
-    Both inputs are (key BIGINT, vector). Queries are a stated set: they go to the corpus in blocks of ``block``, each
-    partition keeps n per query, and only those are shuffled. Exact; measures are rounded to 9 places, ties go to the
-    smaller key; vectors that are null, of another length or not finite take no part.
+    Both inputs are (key BIGINT, vector). With ``part``, a string column of the corpus, it is (query, part, key, measure,
+    rank) with the n nearest of each part, in the same single scan. Queries are a stated set: they go to the corpus in
+    blocks of ``block``, each partition keeps n per query, and only those are shuffled. Exact; measures are rounded to 9
+    places, ties go to the smaller key; vectors that are null, of another length or not finite take no part.
     """
     rows = queries.where(F.col("vector").isNotNull()).orderBy("key")
     spark, parts = corpus.sparkSession, []
     held: list[tuple[int, list[float]]] = []
+    searched = corpus.select("key", "vector", (F.col(part) if part else F.lit(None)).cast("string").alias("part"))
 
     def send() -> None:
         q = np.array([v for _, v in held], dtype=np.float64)
         if cosine:
             q = q / (np.sqrt((q * q).sum(axis=1, keepdims=True)) + 1e-12)
         shared = spark.sparkContext.broadcast((np.array([k for k, _ in held], dtype=np.int64), q))
-        parts.append(corpus.select("key", "vector").mapInArrow(TopN(shared, n, cosine), "query long, key long, measure double"))
+        parts.append(searched.mapInArrow(TopN(shared, n, cosine), "query long, part string, key long, measure double"))
 
     for r in rows.toLocalIterator():
         if not all(x is not None and np.isfinite(x) for x in r["vector"]) or held and len(r["vector"]) != len(held[0][1]):
@@ -86,14 +107,15 @@ def nearest(corpus: DataFrame, queries: DataFrame, n: int, cosine: bool = False,
             held = []
     if held:
         send()
+    columns = ["query", *(["part"] if part else []), "key", "measure"]
     if not parts:
-        return spark.createDataFrame([], "query long, key long, measure double, rank int")
+        return spark.createDataFrame([], "query long, part string, key long, measure double, rank int").select(*columns, "rank")
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
     order = [F.desc("measure"), F.col("key")] if cosine else [F.col("measure"), F.col("key")]
-    w = Window.partitionBy("query").orderBy(*order)
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    w = Window.partitionBy("query", "part").orderBy(*order)
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select(*columns, "rank")
 
 
 def mmr(query: np.ndarray, vectors: np.ndarray, k: int, weight: float) -> list[int]:
@@ -131,10 +153,20 @@ def mmr_select(hits: DataFrame, k: int = 20, weight: float = 0.4) -> DataFrame:
 K1, B, EPSILON = 1.5, 0.75, 0.25
 
 
+def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        tokens = [t.split() if t else [] for t in f["text"]]
+        counts = [Counter(t) for t in tokens]
+        yield pd.DataFrame({"key": f["key"], "length": [len(t) for t in tokens], "terms": [list(c) for c in counts], "tfs": [list(c.values()) for c in counts]})
+
+
 def postings(docs: DataFrame) -> DataFrame:
-    """(term, key, tf, length) of (key, text): lower-cased tokens between white space."""
-    tokens = docs.select("key", words(F.lower("text")).alias("w")).where(F.size("w") > 0)
-    return tokens.select("key", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("term", "key").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+    """(key, length, terms, tfs) of (key BIGINT, text): lower-cased tokens between white space with their counts.
+
+    One row per document, so that a document is scored where it lies: neither a term that most documents have nor a
+    question's hits are gathered in one place.
+    """
+    return docs.select("key", F.lower("text").alias("text")).mapInPandas(_counted, "key long, length int, terms array<string>, tfs array<int>")
 
 
 def kept_postings(docs: DataFrame, folder: str, version: str) -> DataFrame:
@@ -153,33 +185,100 @@ def kept_postings(docs: DataFrame, folder: str, version: str) -> DataFrame:
 
 def term_weights(posted: DataFrame, n_docs: Column | int) -> DataFrame:
     """(term, df, idf): negative weights become a quarter of the mean one."""
-    df = posted.groupBy("term").agg(F.count("*").alias("df"))
+    df = posted.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     raw = df.withColumn("raw", F.log(F.lit(n_docs) - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = raw.agg(F.avg("raw").alias("mean"))  # one row
     return raw.crossJoin(F.broadcast(mean)).select("term", "df", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
 
 
-def bm25(docs: DataFrame, questions: DataFrame, k: int = 10, posted: DataFrame | None = None) -> DataFrame:
-    """(query, key, score, rank) of (key, text) by (query, text): Okapi weights, a term counts as often as it is asked.
+class Scores:
+    """The k best documents of a partition for each question of a block, and the scores of the keys in ``always``."""
+
+    def __init__(self, asked, k: int, mean_length: float, always: list[int]):
+        self.asked, self.k, self.mean_length, self.always = asked, k, mean_length, always
 
-    Documents without any of the terms have score 0 and fill up the k, smallest keys first. Postings are cut, as they
-    serve the statistics and the scores, unless kept ones are given.
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, terms, start, of, weight = self.asked.value
+        known = pa.array(terms, pa.string())
+        top = TopN(None, self.k, False)
+        held = None
+        for whole in batches:
+            for at in range(0, len(whole), 1000):
+                b = whole.slice(at, 1000)
+                keys, lists = np.asarray(b.column(0)), b.column(2)
+                size = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
+                term = np.asarray(pa.compute.fill_null(pa.compute.index_in(lists.flatten(), known), -1))
+                hit = np.flatnonzero(term >= 0)
+                doc = np.repeat(np.arange(len(b)), size)[hit]
+                tf = np.asarray(b.column(3).flatten())[hit].astype(np.float64)
+                impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.asarray(b.column(1))[doc] / self.mean_length))
+                # each hit once for every question that has the term
+                many = (start[1:] - start[:-1])[term[hit]]
+                entry = np.repeat(start[term[hit]] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+                place = of[entry] * len(b) + np.repeat(doc, many)
+                score = np.bincount(place, weight[entry] * np.repeat(impact, many), len(names) * len(b)).astype(np.float64).reshape(len(names), len(b))  # of nothing it counts in integers
+                there = np.bincount(place, minlength=len(names) * len(b)).reshape(len(names), len(b)) > 0
+                score = np.round(score, 9)
+                extra = np.flatnonzero(np.isin(keys, self.always))
+                if len(extra):
+                    q = np.repeat(np.arange(len(names)), len(extra))
+                    k = np.tile(extra, len(names))
+                    yield self.batch(names[q], keys[k], score[q, k])
+                held = top.better(held, np.where(there, -score, np.inf), keys)
+        if held is not None:
+            query, key, m = (x[np.isfinite(held[2])] for x in held)
+            yield self.batch(names[query], key, -m)
+
+    @staticmethod
+    def batch(query, key, score) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(query), pa.array(key), pa.array(score)], names=["query", "key", "score"])
+
+
+def bm25(docs: DataFrame, questions: DataFrame, k: int = 10, posted: DataFrame | None = None, block: int = 1024) -> DataFrame:
+    """(query, key, score, rank) of (key BIGINT, text) by (query BIGINT, text): Okapi weights, a term counts as often as it is asked.
+
+    Documents without any of the terms have score 0 and fill up the k, smallest keys first. Keys are unique. Questions are
+    a stated set: they go to the postings in blocks of ``block``, every partition scores its own documents and keeps k of
+    them per question, and only those are shuffled. Postings are cut, as they serve the statistics and the scores, unless
+    kept ones are given (``docs`` isn't read then).
     """
     from loomquill.session import cut
 
-    sizes = docs.select("key", F.size(words(F.lower("text"))).alias("length"))
-    totals = sizes.agg(F.count("*").alias("n"), F.sum(F.when(F.col("length") > 0, F.col("length")).otherwise(0)).alias("words")).first()
-    n_docs, mean_length = totals["n"], (totals["words"] or 0) / max(1, totals["n"])
+    spark = questions.sparkSession
     posted = cut(postings(docs)) if posted is None else posted
-    asked = questions.select("query", F.explode(words(F.lower("text"))).alias("term")).groupBy("query", "term").agg(F.count("*").alias("times"))
-    wanted = asked.join(term_weights(posted, n_docs), "term")
-    tf = F.col("tf")
-    weight = F.col("times") * F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("length") / mean_length))
-    scored = posted.join(wanted, "term").select("query", "key", weight.alias("w")).groupBy("query", "key").agg(F.round(F.sum("w"), 9).alias("score"))
-    filler = docs.select("key").orderBy("key").limit(2 * k)  # bounded: only these can fill up
-    zero = questions.select("query").distinct().crossJoin(F.broadcast(filler)).join(scored.select("query", "key"), ["query", "key"], "left_anti").withColumn("score", F.lit(0.0))
+    totals = posted.agg(F.count("*").alias("n"), F.sum("length").alias("words")).first()
+    n_docs, mean_length = totals["n"], (totals["words"] or 0) / max(1, totals["n"])
+    # bounded: only these can fill up
+    first = [r["key"] for r in posted.select("key").orderBy("key").limit(2 * k).collect()]
+    asked = questions.select("query", F.explode_outer(words(F.lower("text"))).alias("term")).groupBy("query", "term").agg(F.count("*").alias("times"))
+    weighted = cut(asked.join(term_weights(posted, n_docs), "term", "left").select("query", "term", (F.col("times") * F.col("idf")).alias("weight")))
+    parts, held, ids = [], [], []
+
+    def send() -> None:
+        names = np.array(sorted({r["query"] for r in held}), dtype=np.int64)
+        rows = sorted((r["term"], int(np.searchsorted(names, r["query"])), r["weight"]) for r in held if r["weight"] is not None)
+        terms = list(dict.fromkeys(r[0] for r in rows))
+        number = {t: i for i, t in enumerate(terms)}
+        start = np.searchsorted(np.array([number[r[0]] for r in rows], dtype=np.int64), np.arange(len(terms) + 1))
+        shared = spark.sparkContext.broadcast((names, terms, start, np.array([r[1] for r in rows], dtype=np.int64), np.array([r[2] for r in rows], dtype=np.float64)))
+        parts.append(posted.select("key", "length", "terms", "tfs").mapInArrow(Scores(shared, k, max(mean_length, 1e-9), first), "query long, key long, score double"))
+
+    for r in weighted.orderBy("query").toLocalIterator():
+        if not ids or ids[-1] != r["query"]:
+            if len(ids) == block:
+                send()
+                held, ids = [], []
+            ids.append(r["query"])
+        held.append(r)
+    if held:
+        send()
+    if not parts:
+        return spark.createDataFrame([], "query long, key long, score double, rank int")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
     w = Window.partitionBy("query").orderBy(F.desc("score"), "key")
-    return scored.unionByName(zero.select("query", "key", "score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return found.distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 # --- reranking -------------------------------------------------------------------------------------------------------

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomquill.operators.dedupe import image_rows
@@ -22,12 +23,16 @@ def positional_ids(rows: DataFrame, group: list[str], order: str, prefix: Column
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
     own = F.row_number().over(Window.partitionBy("_part", *group).orderBy(order)) - 1
-    numbered = placed.withColumn("_own", own).join(offsets, ["_part", *group]).withColumn("position", F.col("_own") + F.col("_before"))
+    by = {c: f"_of_{c}" for c in ("_part", *group)}
+    offsets = offsets.select("_before", *[F.col(c).alias(n) for c, n in by.items()])
+    match = [F.col(c).eqNullSafe(F.col(n)) for c, n in by.items()]  # a null group is a group
+    numbered = placed.withColumn("_own", own).join(offsets, match).drop(*by.values()).withColumn("position", F.col("_own") + F.col("_before"))
     return numbered.withColumn("id", F.concat(prefix, F.col("position").cast("string"))).drop("_part", "_own", "_before")
 
 
 def content_id(base: Column, kind: Column, source: Column, page: Column, order: Column, document: Column) -> Column:
-    """An id that doesn't depend on the rows beside it, so that ingesting again adds nothing."""
+    """An id that doesn't depend on the rows beside it, so that ingesting again adds nothing. ``order`` is the place of a
+    piece within its own document, not the document's number in a scan."""
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(x.cast("string"), F.lit("\x00")) for x in (base, kind, source, page, order, document)]), 256)
 
 
@@ -59,13 +64,33 @@ def absent(new: DataFrame, there: DataFrame, key: list[str], order: list[Column]
 
 
 def insert_if_absent(new: DataFrame, path: str, order: list[Column] | None = None) -> int:
-    """Appends what isn't in the table at ``path`` yet; gives the number of rows attempted. Ids are unique per base and kind."""
+    """Appends what isn't in the table at ``path`` yet; gives the number of rows attempted. Ids are unique per base and kind.
+
+    ``new`` is computed once: its rows are counted on their way. Only a table that isn't there counts as empty; any other
+    error in reading it is raised.
+    """
     spark = new.sparkSession
     key = ["base", "kind", "id"]
     try:
         there = spark.read.parquet(path).select(*key)
-    except Exception:
-        there = new.select(*key).limit(0)
-    attempted = new.count()
-    absent(new, there, key, order or [F.col("id")]).write.mode("append").partitionBy("base", "kind").parquet(path)
-    return attempted
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        there = spark.createDataFrame([], new.select(*key).schema)
+    seen = Observation()
+    absent(new.observe(seen, F.count(F.lit(1)).alias("rows")), there, key, order or [F.col("id")]).write.mode("append").partitionBy("base", "kind").parquet(path)
+    return int(seen.get["rows"])
+
+
+def jdbc_insert_if_absent(new: DataFrame, url: str, name: str, **options: str) -> int:
+    """The same into a table (id, document, metadata, embedding) of a relational database, metadata as JSON and the vector as
+    text. A database that refuses a key twice (a writer beside this one) fails the batch, which can be run again."""
+    from loomquill.sources.files import jdbc_store
+
+    there = jdbc_store(new.sparkSession, url, name, **options).select("id")
+    seen = Observation()
+    rows = absent(new.observe(seen, F.count(F.lit(1)).alias("rows")), there, ["id"], [F.col("id")])
+    vector = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda x: x.cast("string")), ","), F.lit("]"))
+    out = rows.select("id", "document", F.to_json("metadata").alias("metadata"), vector.alias("embedding"))
+    out.write.format("jdbc").option("url", url).option("dbtable", name).options(**options).mode("append").save()
+    return int(seen.get["rows"])

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomquill.functions.text import strip
+
 
 def _cells(c: Column) -> Column:
     return F.transform(c, lambda x: F.coalesce(x, F.lit("")))
@@ -36,14 +38,15 @@ def to_csv(headers: Column, rows: Column) -> Column:
 
 
 def row_sentences(headers: Column, rows: Column) -> Column:
-    """'Row -> h: v, ...' for each row that isn't the header again; pairs end with the shorter side."""
+    """'Row -> h: v, ...' for each row that isn't the header again, without white space around headers and values; pairs
+    end with the shorter side."""
     head = _cells(headers)
 
     def sentence(row: Column) -> Column:
         cells = _cells(row)
         n = F.least(F.size(head), F.size(cells))
-        pairs = F.zip_with(F.slice(head, 1, n), F.slice(cells, 1, n), lambda h, v: F.concat(h, F.lit(": "), v))
-        return F.trim(F.concat(F.lit("Row -> "), F.array_join(pairs, ", ")))
+        pairs = F.zip_with(F.slice(head, 1, n), F.slice(cells, 1, n), lambda h, v: F.concat(strip(h), F.lit(": "), strip(v)))
+        return F.concat(F.lit("Row -> "), F.array_join(pairs, ", "))
 
     return F.transform(F.filter(rows, lambda r: _cells(r) != head), sentence)
 
@@ -54,6 +57,6 @@ def csv_sentences(text: pd.Series, headers: pd.Series) -> pd.Series:
 
     def one(raw, head):
         head = ["" if h is None else h for h in head]
-        return [("Row -> " + ", ".join(f"{h}: {v}" for h, v in zip(head, row, strict=False))).strip() for row in csv.reader(io.StringIO(raw)) if row != head]
+        return ["Row -> " + ", ".join(f"{h.strip()}: {v.strip()}" for h, v in zip(head, row, strict=False)) for row in csv.reader(io.StringIO(raw)) if row != head]
 
     return pd.Series([one(t, h) for t, h in zip(text, headers, strict=True)])

@@ -71,44 +71,56 @@ def route_files(spark, d):
     return paths.select("item_id", "path", files.route(F.col("path")).alias("route")).distinct()
 
 
-@query("""SELECT DISTINCT item_id, metadata.source AS source, CAST(length(page_content) AS BIGINT) AS n_chars FROM text_docs WHERE regexp_matches(lower(metadata.source), '\\.(txt|md)$') AND page_content IS NOT NULL""")
+@query("""SELECT DISTINCT metadata.source AS source, page_content, CAST(length(page_content) AS BIGINT) AS n_chars, 'text' AS source_type FROM text_docs WHERE regexp_matches(lower(metadata.source), '\\.(txt|md)$') AND page_content IS NOT NULL""")
 def scan_documents(spark, d):
-    docs = table(spark, d, "text_docs").where((files.route(M["source"]) == "text") & F.col("page_content").isNotNull())
-    return docs.select("item_id", M["source"].alias("source"), F.char_length("page_content").cast("bigint").alias("n_chars")).distinct()
+    """The text files among the documents, as the folder scan gives them, made documents again."""
+    docs = table(spark, d, "text_docs").where(M["source"].isNotNull() & F.col("page_content").isNotNull())
+    scanned = docs.select(M["source"].alias("path"), F.encode("page_content", "UTF-8").alias("content")).withColumn("route", files.route(F.col("path")))
+    read = files.text_documents(scanned)
+    return read.select(M["source"].alias("source"), "page_content", F.char_length("page_content").cast("bigint").alias("n_chars"), M["source_type"].alias("source_type")).distinct()
 
 
-@query("SELECT DISTINCT reading_id, sha1(concat_ws(':', source, CAST(page - 1 AS VARCHAR), CAST(reading_id AS VARCHAR), image_path)) || '.png' AS name FROM image_readings")
+@query("SELECT DISTINCT reading_id, sha1(coalesce(regexp_extract(source, '([^/]*)/*$', 1), '') || ':' || coalesce(CAST(page - 1 AS VARCHAR), '') || ':' || reading_id || ':' || coalesce(CAST(width AS VARCHAR), '')) || '.png' AS name FROM image_readings")
 def image_name_sha1(spark, d):
     r = table(spark, d, "image_readings")
-    return r.select("reading_id", extract.image_name(F.col("source"), F.col("page") - 1, F.col("reading_id"), F.col("image_path")).alias("name")).distinct()
+    return r.select("reading_id", extract.image_name(F.col("source"), F.col("page") - 1, F.col("reading_id"), F.col("width")).alias("name")).distinct()
 
 
 # --- tables and images -----------------------------------------------------------------------------------------------
 
 
 def _region_tables(spark, d) -> DataFrame:
-    """The nations of each region as an extracted table."""
-    rows = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("x"))
-    cells = F.transform("x", lambda r: F.array(r["n_nationkey"].cast("string"), r["n_name"]))
-    return rows.select(F.col("n_regionkey").cast("bigint").alias("table_no"), F.array(F.lit("key"), F.lit("name")).alias("headers"), cells.alias("rows"))
+    """The nations of each region as an extracted table with blanks, nulls, commas and the header once more."""
+    n = F.col("n_nationkey")
+    name = F.when(n % 4 == 0, F.lit(None)).when(n % 4 == 1, F.concat(F.lit("  "), "n_name", F.lit(" "))).otherwise(F.col("n_name"))
+    note = F.when(n % 3 == 0, "").otherwise(F.concat("n_name", F.lit(", "), F.col("n_regionkey").cast("string")))
+    cells = table(spark, d, "nation").select("n_regionkey", n, F.array(n.cast("string"), name, note).alias("cells"))
+    rows = cells.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("n_nationkey", "cells"))).alias("x"))
+    head = F.array(F.lit(" key"), F.lit("name "), F.lit(None).cast("string"))
+    again = F.array(F.array(F.lit(" key"), F.lit("name "), F.lit("")))
+    return rows.select(F.col("n_regionkey").cast("bigint").alias("table_no"), head.alias("headers"), F.concat(again, F.transform("x", lambda r: r["cells"])).alias("rows"))
 
 
-@query("""SELECT CAST(n_regionkey AS BIGINT) AS table_no, '| key | name |' || chr(10) || '|---|---|' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || n_name || ' |' || chr(10), '' ORDER BY n_nationkey) AS markdown FROM nation GROUP BY 1""")
+CELLS = """cells AS (SELECT CAST(n_regionkey AS BIGINT) AS table_no, n_nationkey AS n, CAST(n_nationkey AS VARCHAR) AS c1, CASE n_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '  ' || n_name || ' ' ELSE n_name END AS c2, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE n_name || ', ' || n_regionkey END AS c3 FROM nation
+UNION ALL SELECT DISTINCT CAST(n_regionkey AS BIGINT), -1, ' key', 'name ', '' FROM nation)"""
+
+
+@query(f"""WITH {CELLS} SELECT table_no, '|  key | name  |  |' || chr(10) || '|---|---|---|' || chr(10) || string_agg('| ' || c1 || ' | ' || coalesce(c2, '') || ' | ' || c3 || ' |' || chr(10), '' ORDER BY n) AS markdown FROM cells GROUP BY 1""")
 def table_to_markdown(spark, d):
     return _region_tables(spark, d).select("table_no", tables.to_markdown(F.col("headers"), F.col("rows")).alias("markdown"))
 
 
-@query("""SELECT CAST(n_regionkey AS BIGINT) AS table_no, '{"headers":["key","name"],"rows":[' || string_agg('["' || n_nationkey || '","' || n_name || '"]', ',' ORDER BY n_nationkey) || ']}' AS json FROM nation GROUP BY 1""")
+@query(f"""WITH {CELLS} SELECT table_no, '{{"headers":[" key","name ",""],"rows":[' || string_agg('["' || c1 || '",' || coalesce('"' || c2 || '"', 'null') || ',"' || c3 || '"]', ',' ORDER BY n) || ']}}' AS json FROM cells GROUP BY 1""")
 def table_to_json(spark, d):
     return _region_tables(spark, d).select("table_no", tables.to_json(F.col("headers"), F.col("rows")).alias("json"))
 
 
-@query("""SELECT CAST(n_regionkey AS BIGINT) AS table_no, 'Row -> key: ' || n_nationkey || ', name: ' || n_name AS sentence FROM nation""")
+@query(f"""WITH {CELLS} SELECT table_no, 'Row -> key: ' || trim(c1) || ', name: ' || coalesce(trim(c2), '') || ', : ' || trim(c3) AS sentence FROM cells WHERE n >= 0""")
 def table_row_sentences(spark, d):
     return _region_tables(spark, d).select("table_no", F.explode(tables.row_sentences(F.col("headers"), F.col("rows"))).alias("sentence"))
 
 
-@query("""SELECT CAST(n_regionkey AS BIGINT) AS table_no, 'Row -> key: ' || n_nationkey || ', name: ' || n_name AS sentence FROM nation""")
+@query(f"""WITH {CELLS} SELECT table_no, 'Row -> key: ' || trim(p[1]) || ', name: ' || trim(p[2]) || ', : ' || trim(p[3]) AS sentence FROM (SELECT table_no, n, string_split(c1 || ',' || coalesce(c2, '') || ',' || c3, ',') AS p FROM cells) WHERE n >= 0""")
 def table_csv_sentences(spark, d):
     t = _region_tables(spark, d)
     return t.select("table_no", F.explode(tables.csv_sentences(tables.to_csv(F.col("headers"), F.col("rows")), F.col("headers"))).alias("sentence"))
@@ -170,8 +182,9 @@ def dedupe_image_rows(spark, d):
 
 
 def _stored(spark, d) -> DataFrame:
-    """Store rows once per row_id."""
-    return table(spark, d, "store_rows").dropDuplicates(["row_id"])
+    """Store rows once per row_id: of rows repeated under one the earliest, then the one of smallest id and text."""
+    rows = table(spark, d, "store_rows")
+    return dedupe.first_rows(rows, {"_k": F.col("row_id")}, [F.col("ingested_at"), F.col("id"), F.col("document")], rows.columns)
 
 
 @query("""SELECT row_id, source, page FROM (SELECT *, row_number() OVER (PARTITION BY base, source, page, h1, h2, h3 ORDER BY row_id) AS n FROM (SELECT DISTINCT row_id, base, metadata.source AS source, metadata.page AS page, metadata.h1 AS h1, metadata.h2 AS h2, metadata.h3 AS h3 FROM store_rows)) WHERE n <= 2""")
@@ -251,13 +264,13 @@ def protect_tables(spark, d):
 
 @query()
 def markdown_sections(spark, d):
-    docs = table(spark, d, "text_docs").where(files.route(M["source"]) == "text")
+    docs = table(spark, d, "text_docs")
     return docs.select("item_id", F.posexplode(chunking.sections(F.col("page_content"))).alias("section_no", "s")).select("item_id", "section_no", "s.*").distinct()
 
 
 def _chunked(strategy: str) -> Query:
     def run(spark, d):
-        docs = table(spark, d, "text_docs").dropDuplicates(["item_id"])
+        docs = dedupe.first_rows(table(spark, d, "text_docs"), {"_k": F.col("item_id")}, [F.col("ingested_at"), F.col("page_content")], ["item_id", "page_content"])
         return chunking.chunks(docs, "item_id", "page_content", EngineConfig(chunk_strategy=strategy))
 
     return run
@@ -309,10 +322,11 @@ def cosine_topk(spark, d):
     return n.select("query", "key", F.col("rank").cast("bigint").alias("rank"), F.col("measure").alias("cosine"))
 
 
-@query("SELECT vec_id, round(n, 6) AS norm, round(embedding[1] / (n + 1e-12), 6) AS first_component FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS n FROM embeddings)")
+@query("SELECT vec_id, CAST(i - 1 AS BIGINT) AS i, round(n, 6) AS norm, round(embedding[i] / (n + 1e-12), 6) AS component FROM (SELECT vec_id, embedding, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS n, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)")
 def l2_normalize(spark, d):
     v = F.col("embedding")
-    return table(spark, d, "embeddings").select("vec_id", F.round(retrieval.l2_norm(v), 6).alias("norm"), F.round(F.element_at(retrieval.normalise(v), 1), 6).alias("first_component"))
+    out = table(spark, d, "embeddings").select("vec_id", F.round(retrieval.l2_norm(v), 6).alias("norm"), F.posexplode(retrieval.normalise(v)).alias("i", "c"))
+    return out.select("vec_id", F.col("i").cast("bigint").alias("i"), "norm", F.round("c", 6).alias("component"))
 
 
 @query(f"""WITH RECURSIVE cand AS (SELECT t.query, t.key, t.rank, CAST(e.embedding AS DOUBLE[]) AS v, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])), 9) AS rel FROM ({TOP_L2}) t JOIN embeddings e ON e.vec_id = t.key JOIN embeddings q ON q.vec_id = t.query),
@@ -451,7 +465,7 @@ def image_links(spark, d):
     return assembly.links(table(spark, d, "image_readings").select("reading_id", "image_path").distinct()).select("reading_id", "abs_path", "file_url", "filename", "md_link")
 
 
-LABEL = _Fragment(f"""'Source ' || {{1}} || ': ' || {NAME} || CASE WHEN {{0}}.image_path IS NOT NULL AND (coalesce({{0}}.caption, false) OR coalesce({{0}}.ocr, false) OR coalesce({{0}}.chartqa, false)) THEN ' (from image)' ELSE '' END
+LABEL = _Fragment(f"""'Source ' || {{1}} || ': ' || CASE WHEN {{0}}.image_path <> '' AND (coalesce({{0}}.caption, false) OR coalesce({{0}}.ocr, false) OR coalesce({{0}}.chartqa, false)) THEN {BASENAME.format("{0}.image_path")} || ' (from image)' ELSE {NAME} END
 || coalesce(' (' || nullif(concat_ws('/', {", ".join(f"CASE WHEN {{0}}.{f} THEN '{f}' END" for f in assembly.FLAGS)}), '') || ')', '') || coalesce(' (page ' || {{0}}.page || ')', '')""")
 
 
@@ -460,7 +474,7 @@ def source_label(spark, d):
     return table(spark, d, "store_rows").where(M.isNotNull()).select("row_id", assembly.label(M, F.col("row_id")).alias("label")).distinct()
 
 
-CITE = f"""'- ' || coalesce(nullif({BASENAME.format("source")}, ''), 'unknown') || coalesce(', page ' || page, '')"""
+CITE = f"""coalesce(nullif({BASENAME.format("source")}, ''), 'unknown') || coalesce(', page ' || page, '')"""
 
 
 @query(f"""WITH {HITS} SELECT query, row_number() OVER (PARTITION BY query ORDER BY r) AS n, line FROM (SELECT query, {CITE} AS line, min(ord) AS r FROM hits GROUP BY 1, 2)""")
@@ -485,9 +499,9 @@ def prompt_context(spark, d):
 
 
 def _conversations(spark, d) -> DataFrame:
-    """Payload texts as messages: a system one, then the user's and the assistant's in turn."""
+    """Payload texts as messages: a system one, then the user's and the assistant's in turn. Repeated payloads are equal."""
     role = lambda i: F.when(i == 0, "system").when(i % 2 == 1, "user").otherwise("assistant")
-    return table(spark, d, "embed_payloads").dropDuplicates(["payload_id"]).select("payload_id", F.transform("txt_docs", lambda x, i: F.struct(role(i).alias("role"), x.alias("content"))).alias("api"))
+    return table(spark, d, "embed_payloads").select("payload_id", "txt_docs").distinct().select("payload_id", F.transform("txt_docs", lambda x, i: F.struct(role(i).alias("role"), x.alias("content"))).alias("api"))
 
 
 @query(f"""SELECT payload_id, nullif({STRIP.format("m")}, '') AS message FROM (SELECT DISTINCT payload_id, txt_docs[CASE WHEN len(txt_docs) % 2 = 0 THEN len(txt_docs) ELSE len(txt_docs) - 1 END] AS m FROM embed_payloads)""")
@@ -496,10 +510,14 @@ def last_user_message(spark, d):
     return _conversations(spark, d).select("payload_id", embedding.question(F.col("api"), none, none).alias("message"))
 
 
-@query("""SELECT payload_id, CAST(1 + 1 + CASE WHEN payload_id % 2 = 0 THEN 1 ELSE 0 END + 1 AS BIGINT) - CASE WHEN len(txt_docs) = 0 THEN 1 ELSE 0 END AS n_messages FROM (SELECT DISTINCT payload_id, txt_docs FROM embed_payloads)""")
+_GUARDS = [x.replace("'", "''") for x in (assembly.GUARD, assembly.FIGURE_GUARD)]
+
+
+@query(f"""SELECT payload_id, concat_ws(chr(10), CASE WHEN len(txt_docs) > 0 THEN 'system: ' || coalesce(txt_docs[1], '') END, 'system: {_GUARDS[0]}', CASE WHEN payload_id % 2 = 0 THEN 'system: {_GUARDS[1]}' END, 'user: prompt') AS messages FROM (SELECT DISTINCT payload_id, txt_docs FROM embed_payloads)""")
 def api_messages(spark, d):
     out = assembly.api_messages(F.col("api"), F.lit("prompt"), F.col("payload_id") % 2 == 0)
-    return _conversations(spark, d).select("payload_id", F.size(out).cast("bigint").alias("n_messages"))
+    line = lambda m: F.concat(m["role"], F.lit(": "), F.coalesce(m["content"], F.lit("")))
+    return _conversations(spark, d).select("payload_id", F.array_join(F.transform(out, line), "\n").alias("messages"))
 
 
 @query("""SELECT DISTINCT row_id, CAST(CASE WHEN regexp_full_match(x, '[0-9]+') THEN x ELSE '0' END AS BIGINT) AS request_id FROM (SELECT row_id, coalesce(nullif(nullif(regexp_replace(id, '^t', ''), ''), '0'), CAST(row_id AS VARCHAR)) AS x FROM store_rows)""")
@@ -519,7 +537,8 @@ def embed_text(spark, d):
 @query()
 def ingest_end_to_end(spark, d):
     docs = table(spark, d, "text_docs").select(F.col("item_id").alias("ord"), "page_content", "metadata")
-    pictures = table(spark, d, "image_readings").dropDuplicates(["reading_id"])
+    readings = table(spark, d, "image_readings")
+    pictures = dedupe.first_rows(readings, {"_k": F.col("reading_id")}, [F.col("read_at"), F.col("image_path"), F.col("ocr")], readings.columns)
     meta = F.col("m").withField("source", F.col("source")).withField("page", F.col("page")).withField("image_path", F.col("image_path")).withField("source_type", F.lit("image_text")).withField("vision_label", F.col("vision_label"))
     empty = F.from_json(F.lit("{}"), docs.schema["metadata"].dataType.simpleString()).alias("m")
     fused = pictures.select((F.col("reading_id") + 1_000_000_000).alias("ord"), images.fuse(F.col("caption"), F.col("chartqa"), F.col("ocr")).alias("page_content"), "source", "page", "image_path", "vision_label", empty)

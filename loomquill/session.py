@@ -32,12 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return it without its lineage.
 
-    The folder is the one named by ``spark.checkpoint.dir``; only where that is unset (tests on one machine)
-    a temporary folder is made.
+    The folder is the one named by ``spark.checkpoint.dir``. Where that is unset, a temporary folder is made for a master on
+    this machine (tests), and anything else is refused: the executors of a cluster share no local folder.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master.partition("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomquill-"))
     return df.checkpoint()
 

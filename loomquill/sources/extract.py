@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomquill.functions.text import basename
+
 PAGE_DDL = "source string, page int, page_content string, error string"
 TABLE_DDL = "source string, page int, table_no int, headers array<string>, rows array<array<string>>, error string"
 IMAGE_DDL = "source string, page int, xref int, rect string, width int, height int, ocr string, vision_label string, content binary, error string"
@@ -112,5 +114,9 @@ def image_readings(files: DataFrame, extractor: Extractor, caption: bool = True,
 
 
 def image_name(source: Column, page0: Column, xref: Column, rect: Column) -> Column:
-    """The name under which an embedded image is kept: the hash of where it stands."""
-    return F.concat(F.sha1(F.concat_ws(":", source, page0.cast("string"), xref.cast("string"), rect)), F.lit(".png"))
+    """The name under which an embedded image is kept: the hash of its file's base name, page from 0, number and place.
+
+    Null parts are empty, so that no two places share a name by leaving one out.
+    """
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (basename(source), page0, xref, rect)]
+    return F.concat(F.sha1(F.concat_ws(":", *parts)), F.lit(".png"))
