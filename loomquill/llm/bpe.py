@@ -5,6 +5,12 @@ neighbouring tokens with the merge table and contracts each word's leftmost pair
 ordered aggregation gives the ids. Decoding joins the ids with the vocabulary and aggregates their bytes in order. The
 merge table (50,000 rows) is broadcast: its size is that of the vocabulary file, whatever the corpus.
 
+A word of more than SEGMENT bytes (an unbroken run of letters, signs or blanks) is contracted in overlapping segments, all
+of them words of the same query, so that the steps of the recursion depend on the segment and not on the word. Ids are those
+of the whole word if each two neighbouring ones are those of their two strings put together: merges inside two tokens go on
+without regard to what is further off, so a border that holds in the pair holds in the word. Two segments are therefore
+joined at a token that both have in their overlap; two without such a token are contracted again as one.
+
 Defined results: an empty and a null text both give an empty list; a blank text is encoded as it is; strings of special
 tokens are ordinary text; one row per input row. Nothing is lower-cased, normalised or cut.
 """
@@ -30,6 +36,8 @@ QUERY_BYTES, REMEMBERED = 200_000, 400_000
 
 #: Words of more bytes than this contract all equal pairs at once, from the left; others are done in a few steps anyway.
 LONG = 48
+#: Longer words are contracted in segments of so many bytes, of which so many are in the next one too.
+SEGMENT, OVERLAP = 96, 32
 
 CONTRACT = """
 WITH RECURSIVE state(word, pos, tok) USING KEY (word, pos) AS (
@@ -89,13 +97,13 @@ def _connect() -> duckdb.DuckDBPyConnection:
 
 
 class Encoder:
-    """Encodes batches of texts; ``parts`` is the broadcast (ids of bytes, merge table)."""
+    """Encodes batches of texts; ``parts`` is the broadcast (ids of bytes, merge table, bytes of each id)."""
 
     def __init__(self, parts):
         self.parts = parts
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        self.first, merges = self.parts.value
+        self.first, merges, self.sizes = self.parts.value
         self.con = _connect()
         self.con.register("merge_rows", pa.table({"pair": merges[:, 0], "rank": merges[:, 1], "new": merges[:, 2]}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
@@ -134,6 +142,64 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        short = [i for i, r in enumerate(raw) if len(r) <= SEGMENT]
+        for i, ids in zip(short, self.contract([raw[i] for i in short]), strict=True):
+            self.known[words[i]] = ids
+        for i, r in enumerate(raw):
+            if len(r) > SEGMENT:
+                self.known[words[i]] = self.joined(r)
+
+    def joined(self, raw: bytes) -> list[int]:
+        """Ids of a long word from those of its segments."""
+        step = SEGMENT - OVERLAP
+        spans = [(a, min(a + SEGMENT, len(raw))) for a in range(0, max(1, len(raw) - OVERLAP), step)]
+        done: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        while True:
+            new, size = [], 0
+            for s in [x for x in spans if x not in done]:
+                new.append(s)
+                size += s[1] - s[0]
+                if size > QUERY_BYTES:
+                    self.segments(raw, new, done)
+                    new, size = [], 0
+            if new:
+                self.segments(raw, new, done)
+            joints = [self.joint(done[a], done[b]) for a, b in zip(spans, spans[1:], strict=False)]
+            if None not in joints:
+                break
+            wider: list[tuple[int, int]] = []  # segments that share no token become one, two by two
+            i = 0
+            while i < len(spans):
+                apart = i < len(joints) and joints[i] is None
+                wider.append((spans[i][0], spans[i + 1][1]) if apart else spans[i])
+                i += 1 + apart
+            spans = wider
+        out: list[np.ndarray] = []
+        at = 0
+        for s, (ids, ends) in zip(spans, (done[s] for s in spans), strict=True):
+            # from the end of the last joint on, up to the next one
+            to = joints[len(out)] if len(out) < len(joints) else ends[-1]
+            out.append(ids[(ends > at) & (ends <= to)])
+            at = to
+        return np.concatenate(out).tolist()
+
+    @staticmethod
+    def joint(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> int | None:
+        """Where a token ends that two segments have in common: in both, the ids before and at that place are the same."""
+        _, i, j = np.intersect1d(left[1], right[1], assume_unique=True, return_indices=True)
+        same = np.flatnonzero(left[0][i] == right[0][j])  # one id that ends at one place: it begins at one place too
+        return int(left[1][i[same[len(same) // 2]]]) if len(same) else None
+
+    def segments(self, raw: bytes, spans: list[tuple[int, int]], done: dict) -> None:
+        """Adds (ids, places where they end in the word) of segments to ``done``."""
+        for (a, b), ids in zip(spans, self.contract([raw[a:b] for a, b in spans]), strict=True):
+            ids = np.array(ids, dtype=np.int64)
+            done[a, b] = ids, a + np.cumsum(self.sizes[ids])
+
+    def contract(self, raw: list[bytes]) -> list[list[int]]:
+        """Ids of byte strings that are words of their own."""
+        if not raw:
+            return []
         sizes = np.array([len(r) for r in raw])
         starts = np.cumsum(sizes) - sizes
         tokens = self.first[np.frombuffer(b"".join(raw), dtype=np.uint8)]
@@ -142,13 +208,13 @@ class Encoder:
         query = CONTRACT_LONG if sizes.max() > LONG else CONTRACT
         ids = [r[1] for r in self.con.execute(query).fetchall()]
         self.con.unregister("start")
-        self.known.update(zip(words, ids, strict=True))
+        return ids
 
 
 def encode(texts: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """(key, ids ARRAY<INT>) without special tokens, one row per row of ``texts``."""
-    first, merges, _ = read_vocabulary(vocabulary)
-    parts = texts.sparkSession.sparkContext.broadcast((first, merges))
+    first, merges, known = read_vocabulary(vocabulary)
+    parts = texts.sparkSession.sparkContext.broadcast((first, merges, np.array([len(b) for b in known])))
     kind = texts.schema[key].dataType.simpleString()
     return texts.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(Encoder(parts), f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
