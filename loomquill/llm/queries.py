@@ -14,6 +14,8 @@ from loomquill.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Candidates of a query whose neighbours may be no more alike than chance has it.
+P5_WIDE = 200_000
 TABLES = {0: "store_rows", 1: "embed_payloads"}
 
 
@@ -45,7 +47,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_nearest(spark: SparkSession, d: str) -> DataFrame:
-    n = neighbours.nearest(_collection(spark, d, "embedding", "txt_embeddings", "vector"))
+    """The stated query set, every key divisible by 100, with all of its k most similar vectors, whatever their cosines."""
+    n = neighbours.nearest(_collection(spark, d, "embedding", "txt_embeddings", "vector"), least=-1.0, budget=P5_WIDE, asked=F.col("key") % 100 == 0)
     return n.select(_named(), "key", "rank", "other", F.round("cos", 3).alias("cos"))
 
 
