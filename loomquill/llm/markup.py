@@ -16,6 +16,7 @@ import html
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -28,6 +29,13 @@ MARKS = ("none", "heading", "list", "code", "formula", "quote", "table", "aside"
 SPACE = regex.compile(r"\s+")
 
 
+@lru_cache(maxsize=None)
+def rx(pattern: str) -> regex.Pattern:
+    """A compiled pattern; the library's own cache takes longer than most of the matches here."""
+    return regex.compile(pattern)
+
+
+
 @dataclass
 class Block:
     mark: str
@@ -82,7 +90,7 @@ def inline(raw: str, dialect: str) -> Block:
 
     s = raw
     if dialect in ("markdown", "none"):
-        s = regex.sub(r"(?<!`)(`+)(?!`)(.+?)(?<!`)\1(?!`)", lambda m: keep(m.group(2).strip()), s, flags=regex.S)
+        s = rx(r"(?s)(?<!`)(`+)(?!`)(.+?)(?<!`)\1(?!`)").sub(lambda m: keep(m.group(2).strip()), s)
     s = FORMULA.sub(formula, s)
     links = [0]
 
@@ -93,25 +101,25 @@ def inline(raw: str, dialect: str) -> Block:
 
     s = WIKI_DROP.sub("", s)
     if dialect == "tex":
-        s = regex.sub(r"(?<!\\)%.*", "", s)
+        s = rx(r"(?<!\\)%.*").sub("", s)
         s = TEX_LINK.sub(link, TEX_DROP.sub("", s))
         for _ in range(4):  # nested commands
             s, n = TEX_KEEP.subn(r"\1", s)
             if not n:
                 break
-        s = regex.sub(r"\\([&%$#_{}])", lambda m: keep(m.group(1)), s)
+        s = rx(r"\\([&%$#_{}])").sub(lambda m: keep(m.group(1)), s)
         s = s.replace("~", " ").replace("\\\\", " ").replace("``", '"').replace("''", '"')
     else:
-        s = regex.sub(r"<a\b[^>]*>(.*?)</a>", lambda m: link(m), s, flags=regex.I | regex.S)
+        s = rx(r"(?is)<a\b[^>]*>(.*?)</a>").sub(lambda m: link(m), s)
         if dialect != "html":
             s = WIKI_LINK.sub(link, LINK.sub(link, s))
-            s = regex.sub(r"'{2,5}", "", s)
-            s = regex.sub(r"\\([\\`*_{}\[\]()#+.!|>~-])", lambda m: keep(m.group(1)), s)
+            s = rx(r"'{2,5}").sub("", s)
+            s = rx(r"\\([\\`*_{}\[\]()#+.!|>~-])").sub(lambda m: keep(m.group(1)), s)
             for _ in range(3):
                 s, n = STRONG.subn(lambda m: m.group(2) or m.group(4) or m.group(5), s)
                 if not n:
                     break
-        s = TAG.sub(lambda m: " " if regex.match(r"<br|</?(?:p|div|li|td|tr)\b", m.group(), regex.I) else "", s)
+        s = TAG.sub(lambda m: " " if rx(r"(?i)<br|</?(?:p|div|li|td|tr)\b").match(m.group()) else "", s)
         s = html.unescape(s)
     for _ in range(3):
         s, n = PLACE.subn(lambda m: kept[int(m.group(1))], s)
@@ -152,7 +160,7 @@ class Html(HTMLParser):
         elif self.mark == "code":
             if tag == "br":
                 self.parts.append("\n")
-        elif regex.fullmatch(r"h[1-6]", tag):
+        elif rx(r"h[1-6]").fullmatch(tag):
             self.flush("heading", int(tag[1]))
         elif tag == "li":
             self.flush("list")
@@ -175,7 +183,7 @@ class Html(HTMLParser):
         elif self.mark == "code":
             if tag == "pre":
                 self.flush()
-        elif tag in BREAKING or tag == "li" or regex.fullmatch(r"h[1-6]", tag):
+        elif tag in BREAKING or tag == "li" or rx(r"h[1-6]").fullmatch(tag):
             self.flush()
         elif tag == "a":
             self.in_link = False
@@ -271,31 +279,31 @@ class Reader:
             return i + 1
         if m := FENCE.match(line):
             self.dialect = "markdown"
-            end = self.until(i + 1, regex.compile(rf"^\s*{regex.escape(m.group(1)[0])}{{{len(m.group(1))},}}\s*$"))
+            end = self.until(i + 1, rx(rf"^\s*{regex.escape(m.group(1)[0])}{{{len(m.group(1))},}}\s*$"))
             self.add("code", "\n".join(self.lines[i + 1 : end]))
             return end + 1
-        if m := regex.match(r"\s*<(syntaxhighlight|source|code|nowiki)\b[^>]*>(.*)", line, regex.I | regex.S):
+        if m := rx(r"(?is)\s*<(syntaxhighlight|source|code|nowiki)\b[^>]*>(.*)").match(line):
             if m.group(1).lower() in ("syntaxhighlight", "source"):
                 self.dialect = "wiki"
-                end = self.until(i, regex.compile(rf"</{m.group(1)}>", regex.I))
+                end = self.until(i, rx(rf"(?i)</{m.group(1)}>"))
                 body = "\n".join([m.group(2), *self.lines[i + 1 : end + 1]])
-                self.add("code", regex.sub(rf"(?is)</{m.group(1)}>.*$", "", body))
+                self.add("code", rx(rf"(?is)</{m.group(1)}>.*$").sub("", body))
                 return end + 1
-        if regex.match(r"\s*\{\|", line):
+        if rx(r"\s*\{\|").match(line):
             self.dialect = "wiki"
-            end = self.until(i, regex.compile(r"^\s*\|\}"))
+            end = self.until(i, rx(r"^\s*\|\}"))
             self.add("table", "\n".join(self.lines[i : end + 1]))
             return end + 1
-        if regex.match(r"\s*\{\{[^{}]*\}\}\s*$|\s*\[\[(?:Category|File|Image)\s*:[^\]]*\]\]\s*$", line, regex.I):
+        if rx(r"(?i)\s*\{\{[^{}]*\}\}\s*$|\s*\[\[(?:Category|File|Image)\s*:[^\]]*\]\]\s*$").match(line):
             self.dialect = "wiki"
             self.add("aside", line.strip())
             return i + 1
-        if m := regex.match(r"\s*(\$\$|\\\[)", line):
+        if m := rx(r"\s*(\$\$|\\\[)").match(line):
             close = r"\$\$" if m.group(1) == "$$" else r"\\\]"
             rest = line[m.end() :]
-            end = i if regex.search(close, rest) else self.until(i + 1, regex.compile(close))
+            end = i if rx(close).search(rest) else self.until(i + 1, rx(close))
             body = "\n".join(self.lines[i : end + 1])
-            if (n := regex.match(rf"\s*(?:\$\$|\\\[)(.*?){close}\s*$", body, regex.S)) is not None:
+            if (n := rx(rf"(?s)\s*(?:\$\$|\\\[)(.*?){close}\s*$").match(body)) is not None:
                 self.flush()
                 self.blocks.append(Block("formula", SPACE.sub(" ", html.unescape(n.group(1))).strip()))
                 return end + 1
@@ -317,7 +325,7 @@ class Reader:
             self.add("heading", m.group(2), len(m.group(1)))
             return i + 1
         under = self.lines[i + 1] if i + 1 < len(self.lines) else ""
-        if not self.held and regex.fullmatch(r"\s{0,3}(={3,}|-{3,})\s*", under) and regex.search(r"\p{L}", line) and not line.rstrip().endswith((".", "|")) and len(line.split()) <= 20 and not BULLET.match(line):
+        if not self.held and rx(r"\s{0,3}(={3,}|-{3,})\s*").fullmatch(under) and rx(r"\p{L}").search(line) and not line.rstrip().endswith((".", "|")) and len(line.split()) <= 20 and not BULLET.match(line):
             self.dialect = "markdown"
             self.add("heading", line, 1 if "=" in under else 2)
             return i + 2
@@ -333,7 +341,7 @@ class Reader:
             self.flush()
             self.held, self.mark = [m.group(1)], "list"
             return i + 1
-        if m := regex.match(r"\s{0,3}>\s?(.*)$", line):
+        if m := rx(r"\s{0,3}>\s?(.*)$").match(line):
             if self.mark != "quote":
                 self.flush()
             self.held.append(m.group(1))
@@ -341,7 +349,7 @@ class Reader:
             return i + 1
         if WIKI_SIGN.search(line):
             self.dialect = "wiki"
-        elif LINK.search(line) or regex.search(r"(?<!\w)\*\*\w", line):
+        elif LINK.search(line) or rx(r"(?<!\w)\*\*\w").search(line):
             self.dialect = "markdown"
         self.held.append(line)
         return i + 1
@@ -349,7 +357,7 @@ class Reader:
     def hash_is_item(self, i: int) -> bool:
         """Whether a line that starts with # is a numbered item of a wiki text rather than a heading."""
         near = [self.lines[k] for k in (i - 1, i + 1) if 0 <= k < len(self.lines)]
-        if any(regex.match(r"\s*#{1,4}[*:]?\s+\S", x) for x in near):
+        if any(rx(r"\s*#{1,4}[*:]?\s+\S").match(x) for x in near):
             return True
         return self.dialect == "wiki"
 
@@ -359,12 +367,19 @@ class Reader:
         return bool(BULLET.match(after) or NUMBER.match(after))
 
     def html(self, i: int) -> int:
-        end = i
+        end, until = i, ""
         while end < len(self.lines):
-            held = "\n".join(self.lines[i : end + 1])
-            opened = [m for m in HTML_HOLD.finditer(held)]
-            closed = not opened or any(x in held[opened[-1].end() :].lower() for x in ({"!--": "-->"}.get(opened[-1].group(1).lower(), f"</{opened[-1].group(1).lower()}>"),))
-            if closed and (end + 1 >= len(self.lines) or not self.lines[end + 1].strip() or MD_HEAD.match(self.lines[end + 1])):
+            line, at = self.lines[end].lower(), 0
+            while True:  # what a line opens and closes; inside pre, script, style and comments blank lines are text
+                if until:
+                    at = line.find(until, at)
+                    if at < 0:
+                        break
+                    at, until = at + len(until), ""
+                if not (m := HTML_HOLD.search(line, at)):
+                    break
+                at, until = m.end(), "-->" if m.group(1) == "!--" else f"</{m.group(1)}>"
+            if end + 1 >= len(self.lines) or not until and (not self.lines[end + 1].strip() or MD_HEAD.match(self.lines[end + 1])):
                 break
             end += 1
         self.flush()
@@ -382,11 +397,11 @@ class Reader:
         if m := TEX_HEAD.match(line):
             body, _ = _group(line, m.end() - 1)
             self.add("heading", body, 1 + m.group(1).count("sub"))
-            rest = regex.sub(r"\\label\{[^{}]*\}", "", line[m.end() + len(body) + 1 :]).strip()
+            rest = rx(r"\\label\{[^{}]*\}").sub("", line[m.end() + len(body) + 1 :]).strip()
             if rest and not rest.startswith("%"):
                 self.held = [rest]
             return i + 1
-        if m := regex.match(r"\\begin\{([^}]*)\}(?:\[[^\]]*\])?(?:\{[^}]*\})*(.*)$", line, regex.S):
+        if m := rx(r"(?s)\\begin\{([^}]*)\}(?:\[[^\]]*\])?(?:\{[^}]*\})*(.*)$").match(line):
             name = m.group(1).rstrip("*")
             if name in TEX_CODE or name in TEX_MATH or name in ("tabular", "table", "figure", "tikzpicture"):
                 close = regex.compile(rf"\\end\{{{regex.escape(m.group(1))}\}}")
@@ -394,14 +409,14 @@ class Reader:
                 body = close.split("\n".join([m.group(2), *self.lines[i + 1 : end + 1]]))[0]
                 self.flush()
                 if name in TEX_MATH:
-                    body = regex.sub(r"\\label\{[^{}]*\}|\\nonumber\b", "", body)
+                    body = rx(r"\\label\{[^{}]*\}|\\nonumber\b").sub("", body)
                     self.blocks.append(Block("formula", SPACE.sub(" ", body).strip()))
                 else:
                     self.blocks.append(Block("code" if name in TEX_CODE else "table", body.strip("\n")))
                 return end + 1
             self.flush()
             return i + 1
-        if m := regex.match(r"\\item\b\s*(?:\[([^\]]*)\])?\s*(.*)$", line):
+        if m := rx(r"\\item\b\s*(?:\[([^\]]*)\])?\s*(.*)$").match(line):
             self.flush()
             self.held, self.mark = [" ".join(x for x in m.groups() if x)], "list"
             return i + 1
@@ -486,8 +501,7 @@ def parts(text: str | None) -> list[tuple[str, str]]:
             piece = SPACE.sub(" ", b.text).strip()
             if piece:
                 out.append((kind, piece))
-        if kind != "furniture":
-            out += [("formula", f) for f in b.formulas]
+        out += [("formula", f) for f in b.formulas if kind != "furniture"]
     return out
 
 
