@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from loomquill.session import cut
 
 DIMENSIONS, K, LEAST, TREES = 64, 10, 0.85, 10
-SEED, PART_ROWS = 20240229, 200_000
+SEED, PART_ROWS = 20240229, 100_000
 PREFIX, BUDGET, MISS = 10, 2000, 0.005
 #: Rows searched at once, and how many beside them are looked at before the ascent.
 BLOCK, BESIDE, TILE = 256, 64, 2048
