@@ -10,7 +10,13 @@ collisions are counted in full, and pairs with AGREE of them are compared exactl
 Texts with equal word sequences form one class before anything is posted, so copies cost one row per task. Lists of more
 than LIST_BLOCK texts are joined in blocks of that size: no task holds a whole list. With 44 coordinates and 2 agreements
 a pair of similarity 0.6 is missed with probability 3e-4, one of 0.65 with 1e-5, one of 0.7 with 2e-7. Values are kept in VALUE
-bytes: by those that are equal by chance a pair is only compared for nothing.
+bytes: by those that are equal by chance a pair is only compared for nothing. At the other parameters in use, five words and
+0.8, a pair just at the threshold is missed with probability 1e-12.
+
+``alike_pairs`` gives all pairs, so its result is quadratic in a family of texts that are all alike. ``groups`` gives each text
+its group (the connected component of its links) in rows that grow with the texts: in a list of more than LIST_SHORT texts
+each one is first compared with the list's smallest only (a star). A list whose texts are then one group has no more to say;
+texts of the others are compared with those of other groups in the same list. So no link between groups is left out.
 
 Defined results: words are maximal runs of letters and digits in lower case; null texts and texts with fewer words than a
 run has none and are alike to nothing; rows repeated under one key are one record (of unequal ones each text counts);
@@ -152,24 +158,31 @@ def node(tbl: Column, key: Column) -> Column:
     return key * 16 + tbl
 
 
-def candidates(one: DataFrame, agree: int = AGREE) -> DataFrame:
-    """(tbl, a, b): class pairs with ``agree`` collisions, from the class table."""
+def lists(one: DataFrame) -> DataFrame:
+    """(post, node, n, hub): where each class is posted, with the number of classes in that list and the smallest of them."""
     posted = one.select(node(F.col("tbl"), F.col("cls")).alias("node"), "tbl", "coordinates").mapInArrow(_postings, "node long, post long")
-    sizes = posted.groupBy("post").agg(F.count("*").alias("n")).where("n > 1")
-    met = posted.join(sizes, "post")
+    return posted.join(posted.groupBy("post").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where("n > 1"), "post")
+
+
+def candidates(met: DataFrame, agree: int = AGREE, apart: bool = False) -> DataFrame:
+    """(a, b) with a < b: class pairs with ``agree`` collisions in lists (post, node, n). With ``apart`` lists have a column
+    ``grp`` too, and only pairs of different groups are given."""
+    if not apart:
+        met = met.withColumn("grp", F.lit(0))
     # the prefix: short lists, and of the others all but the agree - 1 longest; a text has COORDINATES of them at most
-    own = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("own")).where(F.size("own") >= agree)
+    own = met.groupBy("node", "grp").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("own")).where(F.size("own") >= agree)
     flagged = F.transform("own", lambda x, i: F.struct(x["n"].alias("n"), x["post"].alias("post"), ((x["n"] <= LIST_SHORT) | (i <= F.size("own") - agree)).alias("kept")))
     out = F.transform(F.filter(flagged, lambda x: ~x["kept"]), lambda x: x["post"])
-    lists = own.select("node", out.alias("out"), F.explode(flagged).alias("x"))
+    each = own.select("node", "grp", out.alias("out"), F.explode(flagged).alias("x"))
     blocks = F.ceil(F.col("x.n") / LIST_BLOCK).cast("int")
-    left = lists.where("x.kept").select("x.post", F.pmod(F.hash("node"), blocks).alias("block"), F.col("node").alias("a"), F.col("out").alias("out_a"))
-    right = lists.select("x.post", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("x.kept").alias("both"), F.col("out").alias("out_b"))
+    left = each.where("x.kept").select("x.post", F.pmod(F.hash("node"), blocks).alias("block"), F.col("node").alias("a"), F.col("grp").alias("grp_a"), F.col("out").alias("out_a"))
+    right = each.select("x.post", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("node").alias("b"), F.col("grp").alias("grp_b"), F.col("x.kept").alias("both"), F.col("out").alias("out_b"))
     # a list that both leave out makes no pair, but counts for pairs that meet elsewhere
-    met = left.join(right, ["post", "block"]).where("a < b or (not both and a != b)")
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.size(F.array_intersect("out_a", "out_b")).alias("more"))
-    enough = pairs.groupBy("a", "b").agg((F.count("*") + F.max("more")).alias("all")).where(F.col("all") >= agree)
-    return enough.select(F.pmod("a", F.lit(16)).cast("int").alias("tbl"), F.shiftright("a", 4).alias("a"), F.shiftright("b", 4).alias("b"))
+    meeting = left.join(right, ["post", "block"]).where("a < b or (not both and a != b)")
+    if apart:
+        meeting = meeting.where("grp_a != grp_b")
+    pairs = meeting.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.size(F.array_intersect("out_a", "out_b")).alias("more"))
+    return pairs.groupBy("a", "b").agg((F.count("*") + F.max("more")).alias("all")).where(F.col("all") >= agree).select("a", "b")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -183,9 +196,9 @@ def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)])
 
 
-def class_pairs(texts: DataFrame, signed: DataFrame, least: float, run: int, agree: int = AGREE) -> DataFrame:
-    """(tbl, a, b, similarity) with a < b: all pairs of classes found whose similarity is ``least`` or more."""
-    met = cut(candidates(class_table(signed), agree))
+def compared(texts: DataFrame, pairs: DataFrame, least: float, run: int) -> DataFrame:
+    """(tbl, a, b, similarity) of the pairs of nodes (a, b) whose similarity is ``least`` or more; a and b are keys again."""
+    met = cut(pairs.select(F.pmod("a", F.lit(16)).cast("int").alias("tbl"), F.shiftright("a", 4).alias("a"), F.shiftright("b", 4).alias("b")))
     wanted = met.select("tbl", F.explode(F.array("a", "b")).alias("cls")).distinct()
     if wanted.limit(MOST_WANTED + 1).count() <= MOST_WANTED:
         wanted = F.broadcast(wanted)  # else the texts are shuffled to it
@@ -194,8 +207,13 @@ def class_pairs(texts: DataFrame, signed: DataFrame, least: float, run: int, agr
     # of unequal texts under one key the one with fewest runs stands for it; equal rows are one
     known = sets.groupBy("tbl", "cls").agg(F.min_by("runs", F.size("runs")).alias("runs"))
     left, right = (known.select("tbl", F.col("cls").alias(x), F.col("runs").alias(f"runs_{x}")) for x in "ab")
-    compared = met.join(left, ["tbl", "a"]).join(right, ["tbl", "b"])
-    return compared.select("tbl", "a", "b", overlap("runs_a", "runs_b").alias("similarity")).where(F.col("similarity") >= least)
+    beside = met.join(left, ["tbl", "a"]).join(right, ["tbl", "b"])
+    return beside.select("tbl", "a", "b", overlap("runs_a", "runs_b").alias("similarity")).where(F.col("similarity") >= least)
+
+
+def class_pairs(texts: DataFrame, signed: DataFrame, least: float, run: int, agree: int = AGREE) -> DataFrame:
+    """(tbl, a, b, similarity) with a < b: all pairs of classes found whose similarity is ``least`` or more."""
+    return compared(texts, candidates(lists(class_table(signed)), agree), least, run)
 
 
 def membership(signed: DataFrame) -> DataFrame:
@@ -225,12 +243,53 @@ def alike_pairs(texts: DataFrame, least: float = 0.6, run: int = 3, agree: int =
     return across.unionByName(inside).unionByName(stars).where("a < b").distinct()
 
 
-def classes_and_links(texts: DataFrame, least: float = 0.8, run: int = 5, agree: int = AGREE) -> DataFrame:
-    """(tbl, key, cls, n_links): every text that has runs with its class of equal texts, and the number of other classes
-    alike to that class by ``least`` or more."""
+def components(links: DataFrame) -> DataFrame:
+    """(node, grp): the smallest node of the connected component of each node that has a link (a, b).
+
+    Alternating stars: every node's larger neighbours are hung on its smallest neighbour, then its smaller ones are, until
+    nothing changes; the number of rounds grows with the logarithm of the longest chain. Minima are combined on the map side,
+    and a node with many links is one row on one side of the join, whose other side Spark splits where it is skewed.
+    """
+    edges, before = cut(links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct()), None
+    while True:
+        both = edges.select(F.col("low").alias("u"), F.col("high").alias("v")).unionByName(edges.select(F.col("high").alias("u"), F.col("low").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("m").alias("low"), F.col("v").alias("high")).where("low < high").distinct()
+        least = large.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
+        hung = large.join(least, large["high"] == least["u"]).select("u", "m", "low")
+        small = hung.select(F.col("m").alias("low"), F.col("u").alias("high")).unionByName(hung.select(F.col("m").alias("low"), F.col("low").alias("high")))
+        edges = cut(small.where("low < high").distinct())
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first())
+        if now == before:
+            break
+        before = now
+    return edges.select(F.col("high").alias("node"), F.col("low").alias("grp")).unionByName(edges.select(F.col("low").alias("node"), F.col("low").alias("grp")).distinct())
+
+
+def groups(texts: DataFrame, least: float = 0.8, run: int = 5, agree: int = AGREE) -> DataFrame:
+    """(tbl, key, group_id, n_members): every text that has runs with its group of near-duplicates, whose smallest key is
+    group_id. A group is a connected component of texts alike by ``least`` or more; n_members counts its keys."""
     signed = signatures(texts, run)
-    pairs = class_pairs(texts, signed, least, run, agree)
-    links = pairs.select("tbl", F.explode(F.array("a", "b")).alias("cls")).groupBy("tbl", "cls").agg(F.count("*").alias("n_links"))
+    met = cut(lists(class_table(signed)))
+    # short lists in full; what two texts have in common in longer ones counts when they meet in a short one
+    long = F.col("n") > LIST_SHORT
+    out = met.where(long).groupBy("node").agg(F.collect_list("post").alias("out"))  # COORDINATES of them at most
+    brief = met.where(~long).join(out, "node", "left").select("post", "node", F.coalesce("out", F.array().cast("array<bigint>")).alias("out"))
+    left, right = (brief.select("post", F.col("node").alias(x), F.col("out").alias(f"out_{x}")) for x in "ab")
+    close = left.join(right, "post").where("a < b").select("a", "b", F.size(F.array_intersect("out_a", "out_b")).alias("more"))
+    close = close.groupBy("a", "b").agg((F.count("*") + F.max("more")).alias("all")).where(F.col("all") >= agree).select("a", "b")
+    star = met.where(long & (F.col("node") > F.col("hub"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    named = lambda found: found.select(node(F.col("tbl"), F.col("a")).alias("a"), node(F.col("tbl"), F.col("b")).alias("b"))
+    links = cut(named(compared(texts, close.unionByName(star).distinct(), least, run)))
+    of = components(links)
+    # long lists whose texts aren't one group yet
+    placed = met.where(long).select("post", "node", "n").join(of, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
+    several = placed.groupBy("post").agg(F.min("grp").alias("first"), F.max("grp").alias("last")).where("first < last").select("post")
+    rest = cut(placed.join(several, "post"))
+    if not rest.isEmpty():
+        of = components(links.unionByName(named(compared(texts, candidates(rest, agree, apart=True), least, run))))
     one = signed.groupBy("tbl", "h1", "h2").agg(F.min("key").alias("cls"))
-    of = signed.select("tbl", "h1", "h2", "key").join(one, ["tbl", "h1", "h2"]).select("tbl", "key", "cls").distinct()
-    return of.join(links, ["tbl", "cls"], "left").select("tbl", "key", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    keys = signed.select("tbl", "h1", "h2", "key").join(one, ["tbl", "h1", "h2"]).select("tbl", "key", node(F.col("tbl"), F.col("cls")).alias("node")).distinct()
+    found = keys.join(of, "node", "left").select("tbl", "key", F.shiftright(F.coalesce("grp", "node"), 4).alias("group_id"))
+    sizes = found.groupBy("tbl", "group_id").agg(F.countDistinct("key").alias("n_members"))
+    return found.join(sizes, ["tbl", "group_id"]).select("tbl", "key", "group_id", "n_members")

@@ -341,15 +341,15 @@ def exact_cosine(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series(np.round(np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b)), 12))
 
 
-def decided(directed: DataFrame, vectors: DataFrame, k: int, least: float) -> DataFrame:
+def decided(directed: DataFrame, vectors: DataFrame, k: int, least: float, every: bool = False) -> DataFrame:
     """(tbl, cls, other, cos) of those among the k best (and equals of the k-th) of each class. Cosines are the given ones of
-    16 bits, but where these are too close to tell, which are computed again."""
+    16 bits, but where these are too close to tell, or with ``every``, they are computed again."""
     ranked = Window.partitionBy("tbl", "cls").orderBy(F.desc("cos"), "other")
     of = Window.partitionBy("tbl", "cls")
     rows = directed.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= 4 * k)
     rows = rows.withColumn("kth", F.min(F.when(F.col("rank") <= k, F.col("cos"))).over(of)).where(F.col("cos") >= F.col("kth") - CLOSE)
     gap = lambda c: F.coalesce(F.abs(c - F.col("cos")) < CLOSE, F.lit(False))
-    rows = cut(rows.withColumn("open", gap(F.lag("cos").over(ranked)) | gap(F.lead("cos").over(ranked)) | gap(F.lit(least))).drop("rank", "kth"))
+    rows = cut(rows.withColumn("open", F.lit(every) | gap(F.lag("cos").over(ranked)) | gap(F.lead("cos").over(ranked)) | gap(F.lit(least))).drop("rank", "kth"))
     again = rows.where("open").select("tbl", F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct()
     wanted = again.select("tbl", F.explode(F.array("a", "b")).alias("key")).distinct()
     known = vectors.select("tbl", "key", "vector").join(wanted, ["tbl", "key"], "left_semi").groupBy("tbl", "key").agg(F.max("vector").alias("vector"))
@@ -372,7 +372,7 @@ def nearest(vectors: DataFrame, k: int = K, least: float = LEAST, trees: int = T
     directed = pairs.select("tbl", "cos", both.alias("x")).select("tbl", "x.cls", "x.other", "cos")
     if asked is not None:
         directed = directed.join(one.where("asked").select("tbl", "cls"), ["tbl", "cls"], "left_semi")
-    directed = decided(directed, vectors, k, least).withColumnRenamed("other", "other_cls")
+    directed = decided(directed, vectors, k, least, asked is not None).withColumnRenamed("other", "other_cls")
     # the smallest k + 1 members of a class are all that any vector can have among its k best
     first = members.withColumn("n", F.row_number().over(Window.partitionBy("tbl", "cls").orderBy("key"))).where(F.col("n") <= k + 1).drop("n")
     # one's own class at cosine 1, then the members of the classes beside it

@@ -36,9 +36,9 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Near-duplicates at five words and 0.8: one row per text with its class and that class's number of links."""
-    found = neardup.classes_and_links(_collection(spark, d, "document", "img_txt_docs", "text"))
-    return found.select(_named(), "key", "cls", "n_links")
+    """Near-duplicates at five words and 0.8: one row per text with its group and that group's size."""
+    found = neardup.groups(_collection(spark, d, "document", "img_txt_docs", "text"))
+    return found.select(_named(), "key", "group_id", "n_members").distinct()
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -119,15 +119,19 @@ def p7_scores(spark: SparkSession, d: str) -> DataFrame:
     return j.select(F.col("key").alias("reading_id"), "attr", "n_words", F.round("run_share", 6).alias("repeated_share"), "votes", F.round("posterior", 6).alias("posterior")).distinct()
 
 
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The measure alone: the share of each text's words that lie in repeated runs."""
+    m = repetition.measured(_readings(spark, d))
+    return m.select(F.col("key").alias("reading_id"), "attr", "n_words", F.round("run_share", 6).alias("repeated_share")).distinct()
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text")
 
 
 def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Documents whose decoded ids are not the text itself: none."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    back = bpe.decode(p8_ids(spark, d), "doc_id").withColumnRenamed("text", "decoded")
-    return docs.join(back, "doc_id").where(F.coalesce("text", F.lit("")) != F.col("decoded")).select("doc_id", "decoded")
+    """The texts again, decoded from their ids."""
+    return bpe.decode(p8_ids(spark, d), "doc_id").withColumnRenamed("text", "decoded")
 
 
 def _leak_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -157,7 +161,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("key").alias("doc_id"), F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.length", "s.lang", F.round("s.confidence", 4).alias("confidence"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p7_shares, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
 
 __all__ = ["QUERIES", "SQL"]

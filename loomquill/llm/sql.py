@@ -16,9 +16,13 @@ _FILLED = "(" + ", ".join(f"'{f}'" for f in FILLERS) + ")"
 
 
 def _winner(a: str) -> str:
+    return f"SELECT group_id, '{a}' AS attr, rec_id FROM ({_best(a)})"
+
+
+def _best(a: str) -> str:
     value = f"metadata.{a}"
     valid = f"{value} >= 1" if a == "page" else f"{value} IS NOT NULL" if a in ("caption", "chartqa", "ocr") else f"lower({_strip(value)}) NOT IN {_FILLED}"
-    return f"SELECT group_id, '{a}' AS attr, rec_id FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY trust DESC, taken DESC, rec_id) AS n FROM g WHERE {valid}) WHERE n = 1"
+    return f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY trust DESC, taken DESC, rec_id) AS n FROM g WHERE {valid}) WHERE n = 1"
 
 
 P3_FOUND = f"""WITH p AS (SELECT *, {_strip("metadata.image_path")} AS given FROM (SELECT DISTINCT * FROM img_docs) WHERE metadata.image_path IS NOT NULL),
@@ -54,4 +58,37 @@ n AS (SELECT tbl, id, count(*) AS n FROM r GROUP BY tbl, id),
 p AS (SELECT a.tbl, a.id AS id_a, b.id AS id_b, count(*) AS shared FROM r a JOIN r b ON a.tbl = b.tbl AND a.run = b.run AND a.id < b.id GROUP BY 1, 2, 3)
 SELECT p.tbl, id_a, id_b FROM p JOIN n x ON x.tbl = p.tbl AND x.id = id_a JOIN n y ON y.tbl = p.tbl AND y.id = id_b WHERE shared >= 0.6 * (x.n + y.n - shared)"""
 
-SQL = {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p8_round_trip": "SELECT doc_id, text AS decoded FROM documents WHERE false", "p9_found": P9_FOUND}
+P1_GROUPS = f"""WITH RECURSIVE t AS (SELECT DISTINCT 'store_rows' AS tbl, row_id AS id, document AS text FROM store_rows UNION ALL SELECT DISTINCT 'embed_payloads', payload_id * 1000 + p - 1, img_txt_docs[p] FROM (SELECT payload_id, img_txt_docs, unnest(generate_series(1, len(img_txt_docs))) AS p FROM embed_payloads)),
+w AS (SELECT tbl, id, regexp_extract_all(lower(text), '{WORD}') AS ws FROM t),
+r AS (SELECT DISTINCT tbl, id, array_to_string(ws[i:i + 4], ' ') AS run FROM (SELECT tbl, id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)),
+n AS (SELECT tbl, id, count(*) AS n FROM r GROUP BY tbl, id),
+p AS (SELECT a.tbl, a.id AS a, b.id AS b, count(*) AS shared FROM r a JOIN r b ON a.tbl = b.tbl AND a.run = b.run AND a.id < b.id GROUP BY 1, 2, 3),
+l AS (SELECT p.tbl, a, b FROM p JOIN n x ON x.tbl = p.tbl AND x.id = a JOIN n y ON y.tbl = p.tbl AND y.id = b WHERE shared >= 0.8 * (x.n + y.n - shared)),
+e AS (SELECT * FROM l UNION ALL SELECT tbl, b, a FROM l),
+reach(tbl, id, m) AS (SELECT tbl, id, id FROM n UNION SELECT e.tbl, e.b, reach.m FROM reach JOIN e ON e.tbl = reach.tbl AND e.a = reach.id WHERE reach.m < e.b),
+g AS (SELECT tbl, id AS key, min(m) AS group_id FROM reach GROUP BY tbl, id)
+SELECT tbl, key, group_id, count(*) OVER (PARTITION BY tbl, group_id) AS n_members FROM g"""
+
+P3_SURVIVORS = P3_FOUND[: P3_FOUND.index("g AS (")].rstrip().rstrip(",") + f""",
+g AS (SELECT *, min(rec_id) OVER (PARTITION BY file) AS group_id FROM t)
+SELECT group_id, {", ".join(f"max({a}) AS {a}" for a in ATTRIBUTES)} FROM (SELECT DISTINCT group_id, {", ".join(f"NULL::{'INTEGER' if a == 'page' else 'BOOLEAN' if a in ('caption', 'chartqa', 'ocr') else 'VARCHAR'} AS {a}" for a in ATTRIBUTES)} FROM g
+{"".join(f" UNION ALL SELECT group_id, {', '.join(f'metadata.{a} AS {a}' if a == b else f'NULL AS {a}' for a in ATTRIBUTES)} FROM ({_best(b)})" for b in ATTRIBUTES)}) GROUP BY group_id"""
+
+P7_SHARES = P7_FOUND[: P7_FOUND.index("SELECT reading_id, attr FROM c")] + """SELECT reading_id, attr, CAST(any_value(n) AS BIGINT) AS n_words, round(sum(CASE WHEN covered THEN 1 ELSE 0 END) / any_value(n), 6) AS repeated_share FROM c GROUP BY reading_id, attr
+UNION ALL SELECT reading_id, attr, 0, 0.0 FROM (SELECT reading_id, attr, text FROM t) WHERE coalesce(len(regexp_extract_all(text, '""" + WORD + """')), 0) = 0"""
+
+_VECTORS = """v AS (SELECT tbl, key, any_value(CAST(e AS DOUBLE[])) AS e FROM (SELECT 'store_rows' AS tbl, row_id AS key, embedding AS e FROM store_rows UNION ALL SELECT 'embed_payloads', payload_id * 1000 + p - 1, txt_embeddings[p] FROM (SELECT payload_id, txt_embeddings, unnest(generate_series(1, len(txt_embeddings))) AS p FROM embed_payloads))
+WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0 GROUP BY tbl, key)"""
+
+
+def _nearest(of: str, least: str) -> str:
+    cosine = "round(list_cosine_similarity(a.e, b.e), 12)"
+    return f"WITH {_VECTORS}, n AS (SELECT a.tbl, a.key, b.key AS other, {cosine} AS cos, row_number() OVER (PARTITION BY a.tbl, a.key ORDER BY {cosine} DESC, b.key) AS rank FROM v a JOIN v b ON a.tbl = b.tbl AND a.key <> b.key WHERE {of} AND {cosine} >= {least})"
+
+
+P5_FOUND = _nearest("true", "0.85") + " SELECT DISTINCT tbl, least(key, other) AS id_a, greatest(key, other) AS id_b FROM n WHERE rank <= 10"
+P5_NEAREST = _nearest("a.key % 100 = 0", "-1") + " SELECT tbl, key, CAST(rank AS INTEGER) AS rank, other, round(cos, 3) AS cos FROM n WHERE rank <= 10"
+
+P8_ROUND_TRIP = "SELECT doc_id, coalesce(text, '') AS decoded FROM documents"
+
+SQL = {"p5_found": P5_FOUND, "p5_nearest": P5_NEAREST, "p7_shares": P7_SHARES, "p1_groups": P1_GROUPS, "p3_survivors": P3_SURVIVORS, "p1_found": P1_FOUND, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p8_round_trip": P8_ROUND_TRIP, "p9_found": P9_FOUND}
