@@ -1,22 +1,28 @@
 """Repair of text from scanned pages: broken words, misread characters, running headers and page numbers.
 
-One survey of the corpus counts words, neighbouring words and, per source, lines that recur on its pages. Words that make up
-at least one in MILLION of all tokens form the vocabulary (so it has at most a million entries however large the corpus is)
-and go into a trie. A word is looked up by walking the trie with the bit-parallel states of its Levenshtein automaton, which
-gives every vocabulary word within one or two edits; those that an optical confusion explains are ranked by frequency and by
-the words beside them. Page furniture is then dropped and lines are joined to paragraphs.
+One survey of the corpus counts words, neighbouring words, odd tokens and, per source, lines that recur on its pages. Words that
+occur LEAST_COUNT times form the vocabulary. Every distinct token is looked up in it once: a trie of the vocabulary is walked
+with the bit-parallel states of the token's Levenshtein automaton, which gives all words within one to three edits. The
+vocabulary is cut into shards of SHARD words by hash, one trie each, so its size isn't bounded by anything's memory, and the
+tokens are spread over the cluster. Candidates must be explained by one or two optical confusions; what a confusion costs is
+learnt from the tokens that only one word and one confusion explain. What is found goes back to the texts by joins: each text
+gets the facts about its own odd and rare tokens. There, candidates are ranked by frequency, cost and the words beside the
+token; page furniture is dropped, and lines are joined to paragraphs.
 
 Defined results: null and empty texts have no defects and stay as they are; rows without a key are ignored; a page counts as scanned if its source has
-pages with hard line breaks; a running line must recur on a quarter of its source's pages, and on two at least (on a source
-with one page, it must be set apart at its start or end); pages without a source form none; a word is never changed into
-one that the corpus doesn't have; rows repeated under one key are one record; texts of any length are read whole.
+pages with hard line breaks; a running line must recur on SHARE of its source's pages, and on three at least (on two where the
+source has up to five; on a source with one or two pages, it must be set apart at its start or end); pages without a source
+form none; a word is never changed into one that the corpus doesn't have; a second confusion counts only in words of six
+letters or more that aren't in the vocabulary; rows repeated under one key are one record; texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -25,13 +31,18 @@ from pyspark.sql import functions as F
 
 from loomquill.session import cut
 
-MILLION, LEAST_COUNT, RATIO = 1_000_000, 3, 50
+LEAST_COUNT, RATIO, SHARE = 3, 50, 0.25
+#: Words of the vocabulary in one trie (some 30 MB), and frequent words without candidates that texts needn't ask about.
+SHARD, PLAIN = 500_000, 50_000
 #: What a printed character or pair may be read as, in lower case.
 CONFUSIONS = {
     "i": "! 1 l | j", "l": "1 i | !", "e": "c o", "c": "e o", "o": "0 c", "s": "5 $", "b": "6 8 h", "h": "b", "a": "@ 4", "t": "f +", "f": "t", "g": "q 9", "q": "g 9",
     "z": "2", "n": "ri u", "u": "ii n", "m": "rn nn", "w": "vv", "d": "cl", "rn": "m", "ri": "n", "cl": "d", "vv": "w", "ii": "u", "nn": "m", "in": "m", "v": "y", "y": "v", "k": "lc",
 }
 PAIRS = tuple((right, seen) for right, all_seen in CONFUSIONS.items() for seen in all_seen.split())
+BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _a, _b in PAIRS:
+    BY_FIRST.setdefault(_a[0], []).append((_a, _b))
 HYPHENS = "-¬­‐‑"
 BROKEN = regex.compile(rf"(?<![\p{{L}}\p{{N}}@!|-])(?P<a>[\p{{L}}\p{{N}}@!|][\p{{L}}\p{{N}}@!|-]*?)[{HYPHENS}][ \t]?\r?\n[ \t]*(?P<b>[\p{{L}}\p{{N}}@!|][\p{{L}}\p{{N}}@!|-]*)")
 TOKEN = regex.compile(r"[^\s.,;:()\[\]{}\"“”«»?<>/\\=*_`~^#&%+•–—·]+")
@@ -44,6 +55,12 @@ FOLD = str.maketrans({"0": "o", "c": "o", "e": "o", "@": "a", "4": "a", "1": "l"
 FOLD_PAIRS = (("rn", "m"), ("nn", "m"), ("ln", "m"), ("ol", "d"), ("rl", "n"), ("lo", "k"), ("ll", "n"), ("vv", "w"))  # after FOLD
 
 
+@lru_cache(maxsize=None)
+def rx(pattern: str) -> regex.Pattern:
+    """A compiled pattern; the library's own cache takes longer than most of the matches here."""
+    return regex.compile(pattern)
+
+
 def squeeze(line: str) -> str:
     return " ".join(line.split())
 
@@ -83,20 +100,61 @@ def tokens(text: str) -> list[str]:
     return [t for t in TOKEN.findall(text) if any(c.isalpha() for c in t)]
 
 
+def suspect(token: str) -> str | None:
+    """A token in lower case if it may be a misread word."""
+    if CODE.match(token):
+        return None
+    seen = token.lower()
+    letters = sum(c.isalpha() for c in seen)
+    if letters < 2 or letters * 2 < len(seen):
+        return None
+    if "-" in seen and not WORD.match(seen) and rx(r"-\d|\d-").search(seen) and rx(r"[A-Za-z]{1,3}-").match(token):
+        return None
+    return seen
+
+
+def bare(seen: str) -> str:
+    return seen.strip("'’!|-")
+
+
+def parted(m: regex.Match) -> tuple[str, str] | None:
+    """The two parts of a word broken at a line end, or None if it is no word."""
+    a, b = m.group("a"), m.group("b")
+    if rx(r"[A-Z]{1,3}").fullmatch(a) and b[0].isdigit() or not any(c.isalpha() for c in a) or not any(c.isalpha() for c in b):
+        return None
+    return a, b
+
+
+def forms(a: str, b: str) -> tuple[str, ...]:
+    """All that is asked about a broken word: in one, with its hyphen, and its last and second part."""
+    return (a + b).lower(), f"{a}-{b}".lower(), a.lower().rpartition("-")[2], b.lower()
+
+
 class Survey:
-    """Counts of a batch: ('word', word), ('pair', two words), ('line', key of the line with its source) and ('page', source)."""
+    """Counts of a batch: ('word', word), ('odd', token that isn't one), ('form', of a broken word), ('pair', two words),
+    ('line', key of the line with its source) and ('page', source)."""
 
     def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             words: Counter[str] = Counter()
+            odd: Counter[str] = Counter()
             pairs: Counter[str] = Counter()
+            broken: set[str] = set()
             rows: list[tuple] = []
             for key, source, text in zip(f["key"], f["source"], f["text"], strict=True):
                 if not text:
                     continue
-                found = [t.lower() if WORD.match(t) else "" for t in tokens(BROKEN.sub(" ", text))]
+                found = []
+                for t in tokens(BROKEN.sub(" ", text)):
+                    if WORD.match(t):
+                        found.append(t.lower())
+                        continue
+                    found.append("")
+                    if (seen := suspect(t)) is not None:
+                        odd[seen] += 1
                 words.update(w for w in found if w)
                 pairs.update(f"{a} {b}" for a, b in zip(found, found[1:], strict=False) if a and b)
+                broken.update(x for m in BROKEN.finditer(text) if (ab := parted(m)) for x in forms(*ab) if x)
                 if source is None:
                     continue
                 hard = wrapped(text)
@@ -104,6 +162,7 @@ class Survey:
                 if hard:
                     rows += [("line", source, k, key, 1) for k in {line_key(x) for x in text.splitlines() if x.strip() and could_run(x)} if k]
             rows += [("word", w, "", None, n) for w, n in words.items()] + [("pair", w, "", None, n) for w, n in pairs.items()]
+            rows += [("odd", w, "", None, n) for w, n in odd.items()] + [("form", w, "", None, 0) for w in broken]
             yield pd.DataFrame(rows, columns=["kind", "a", "b", "key", "n"])
 
 
@@ -115,18 +174,7 @@ def survey(pages: DataFrame) -> DataFrame:
     return cut(once.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"), F.count("key").alias("items")))
 
 
-def vocabulary(counts: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
-    """Words and pairs with one in MILLION of all tokens or more: at most MILLION of each."""
-    out = []
-    for kind in ("word", "pair"):
-        own = counts.where(F.col("kind") == kind)
-        total = own.agg(F.sum("n")).first()[0] or 0
-        rows = own.where(F.col("n") >= max(LEAST_COUNT, math.ceil(total / MILLION))).select("a", "n").collect()
-        out.append({r["a"]: r["n"] for r in rows})
-    return out[0], out[1]
-
-
-def running_lines(counts: DataFrame, share: float = 0.25) -> DataFrame:
+def running_lines(counts: DataFrame, share: float = SHARE) -> DataFrame:
     """(source, n_pages, lines): of sources with scanned pages, the keys of the lines that recur on ``share`` of them."""
     sources = counts.where("kind = 'page'").select(F.col("a").alias("source"), F.col("items").alias("n_pages"), (F.col("n") > 0).alias("scanned")).where("scanned")
     lines = counts.where("kind = 'line'").select(F.col("a").alias("source"), F.col("b").alias("line"), "items").where("items > 1")
@@ -137,18 +185,40 @@ def running_lines(counts: DataFrame, share: float = 0.25) -> DataFrame:
 
 
 class Trie:
-    """The vocabulary as a trie; ``within`` walks it with the states of a word's Levenshtein automaton."""
+    """Words with their counts as a packed trie: nodes are numbers, the children of one lie side by side, and each knows the
+    largest count below it."""
 
     def __init__(self, words: dict[str, int]):
-        self.root: dict = {}
-        for w in words:
-            node = self.root
-            for c in w:
-                node = node.setdefault(c, {})
-            node[""] = w
-
-    def within(self, word: str, edits: int) -> list[str]:
-        """All words at most ``edits`` insertions, deletions and substitutions away.
+        names = sorted(words)
+        self.first, self.many, self.count, self.best = (array("i", [0]) for _ in range(4))
+        letters = [""]
+        self.longest = max(map(len, names), default=0)
+        level = [(0, 0, len(names))]  # node, and the words below it
+        depth = 0
+        while level:
+            below = []
+            for node, low, high in level:
+                if low < high and len(names[low]) == depth:
+                    self.count[node] = words[names[low]]
+                    low += 1
+                self.first[node] = len(letters)
+                while low < high:
+                    c, end = names[low][depth], low + 1
+                    while end < high and names[end][depth] == c:
+                        end += 1
+                    below.append((len(letters), low, end))
+                    letters.append(c)
+                    for x in (self.first, self.many, self.count, self.best):
+                        x.append(0)
+                    self.many[node] += 1
+                    low = end
+            level, depth = below, depth + 1
+        self.letters = "".join(["\0", *letters[1:]])
+        for node in range(len(letters) - 1, -1, -1):  # children come after their parents
+            self.best[node] = max([self.count[node], *(self.best[k] for k in range(self.first[node], self.first[node] + self.many[node]))])
+
+    def within(self, word: str, edits: int, least: int = 1) -> list[tuple[str, int]]:
+        """All words at most ``edits`` insertions, deletions and substitutions away that occur ``least`` times, with counts.
 
         Bit i of state j: the first i characters of the word are matched with at most j edits.
         """
@@ -157,92 +227,147 @@ class Trie:
         for i, c in enumerate(word):
             masks[c] |= 1 << i
         full = (end << 1) - 1
-        found: list[str] = []
-        stack = [(self.root, tuple((1 << (j + 1)) - 1 for j in range(edits + 1)))]
+        found: list[tuple[str, int]] = []
+        letters, first, many, count, best = self.letters, self.first, self.many, self.count, self.best
+        states = tuple((1 << (j + 1)) - 1 for j in range(edits + 1))
+        if states[-1] & end and count[0] >= least:
+            found.append(("", count[0]))
+        stack = [(0, "", states)]
         while stack:
-            node, states = stack.pop()
-            for c, below in node.items():
-                if c == "":
-                    if states[-1] & end:
-                        found.append(below)
+            node, so_far, states = stack.pop()
+            for k in range(first[node], first[node] + many[node]):
+                if best[k] < least:
                     continue
-                mask = masks.get(c, 0)
+                mask = masks.get(letters[k], 0)
                 new = [((states[0] & mask) << 1) & full]
                 for j in range(1, edits + 1):
                     new.append((((states[j] & mask) << 1) | states[j - 1] | (states[j - 1] << 1) | (new[j - 1] << 1)) & full)
                 if new[-1]:
-                    stack.append((below, tuple(new)))
+                    if count[k] >= least and new[-1] & end:
+                        found.append((so_far + letters[k], count[k]))
+                    if many[k]:
+                        stack.append((k, so_far + letters[k], tuple(new)))
         return found
 
 
-def explained(seen: str, right: str) -> bool:
-    """Whether one confusion turns ``right`` into ``seen``."""
-    for a, b in PAIRS:
-        if len(right) + len(b) - len(a) == len(seen):
-            i = right.find(a)
-            while i >= 0:
-                if right[:i] + b + right[i + len(a) :] == seen:
-                    return True
-                i = right.find(a, i + 1)
-    return False
+def explained(seen: str, right: str, most: int = 1) -> list[str] | None:
+    """The fewest confusions, ``most`` at most, that turn ``right`` into ``seen``, as 'right>seen'; None if there are none."""
+    open_: list[tuple[int, int, tuple[str, ...]]] = [(0, 0, ())]
+    for used in range(most + 1):
+        wider, reached = [], set()
+        for i, j, ops in open_:
+            while True:  # along equal characters, with a confusion tried at each place
+                if i == len(right) and j == len(seen):
+                    return list(ops)
+                if used < most:
+                    for a, b in BY_FIRST.get(right[i : i + 1], ()):
+                        if right.startswith(a, i) and seen.startswith(b, j) and (i + len(a), j + len(b)) not in reached:
+                            reached.add((i + len(a), j + len(b)))
+                            wider.append((i + len(a), j + len(b), (*ops, f"{a}>{b}")))
+                if i < len(right) and j < len(seen) and right[i] == seen[j]:
+                    i, j = i + 1, j + 1
+                else:
+                    break
+        open_ = wider
+    return None
+
+
+class Lookup:
+    """(seen, n, candidates) of the tokens (seen, n, counted) that a shard of the vocabulary has candidates for."""
+
+    def __init__(self, shared):
+        self.shared = shared
+
+    def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trie = self.shared.value
+        for f in frames:
+            out = []
+            for seen, n, known in zip(f["seen"], f["n"], f["known"], strict=True):
+                size = len(seen)
+                if size < 2 or size > trie.longest + 3:
+                    continue
+                least = LEAST_COUNT if not WORD.match(seen) else max(LEAST_COUNT, RATIO * known + 1)
+                if trie.best[0] < least:
+                    continue
+                most = 2 if size >= 6 and not known else 1
+                edits = 3 if most == 2 else 2 if rx(r"rn|vv|ii|cl|ri|nn|lc|m|n|d|w|u").search(seen) else 1
+                found = [{"word": w, "n": c, "ops": ops} for w, c in trie.within(seen, edits, least) if w != seen and (ops := explained(seen, w, most))]
+                if found:
+                    out.append((seen, n, found))
+            yield pd.DataFrame(out, columns=["seen", "n", "found"])
+
+
+CANDIDATES = "array<struct<word:string,n:long,ops:array<string>>>"
+
+
+def corrections(counts: DataFrame) -> DataFrame:
+    """(seen, cands array of <word, n, cost>): the candidates of each token that has any. Candidates with one confusion come
+    before those with two, which count only if both confusions have been seen alone."""
+    context = counts.sparkSession.sparkContext
+    known = F.sum(F.when((F.col("kind") == "word") & (F.col("n") >= LEAST_COUNT), F.col("n")).otherwise(0)).alias("known")
+    asked = counts.where("kind in ('word', 'odd', 'form')").groupBy(F.col("a").alias("seen")).agg(F.sum("n").alias("n"), known)
+    asked = cut(asked.repartition("seen"))
+    words = counts.where((F.col("kind") == "word") & (F.col("n") >= LEAST_COUNT)).select("a", "n")
+    shards = -(-words.count() // SHARD)
+    parts = []
+    for k in range(shards):  # a shard at a time is at the driver
+        rows = words.where(F.pmod(F.xxhash64("a"), F.lit(shards)) == k).collect()
+        parts.append(asked.mapInPandas(Lookup(context.broadcast(Trie({x["a"]: x["n"] for x in rows}))), f"seen string, n long, found {CANDIDATES}"))
+    if not parts:
+        return counts.sparkSession.createDataFrame([], "seen string, cands array<struct<word:string,n:long,cost:double>>")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    found = cut(found.groupBy("seen").agg(F.first("n").alias("n"), F.flatten(F.collect_list("found")).alias("found")))
+    # learnt from what one word explains by one confusion; there are as many rows as confusions
+    single = found.where((F.size("found") == 1) & (F.size(F.col("found")[0]["ops"]) == 1))
+    often = {r["op"]: r["n"] for r in single.groupBy(F.col("found")[0]["ops"][0].alias("op")).agg(F.sum(F.greatest("n", F.lit(1))).alias("n")).collect()}
+    total = sum(often.values()) + len(PAIRS)
+    cost = {f"{a}>{b}": -math.log((often.get(f"{a}>{b}", 0) + 1) / total) for a, b in PAIRS}
+    costs = F.create_map(*[x for op, c in sorted(cost.items()) for x in (F.lit(op), F.lit(c))])
+    alone = F.array(*[F.lit(op) for op in sorted(often)]).cast("array<string>")
+    fewest = F.array_min(F.transform("found", lambda c: F.size(c["ops"])))
+    kept = F.filter("found", lambda c: (F.size(c["ops"]) == fewest) & ((fewest == 1) | F.forall(c["ops"], lambda op: F.array_contains(alone, op))))
+    summed = F.transform(kept, lambda c: F.struct(c["word"].alias("word"), c["n"].alias("n"), F.aggregate(c["ops"], F.lit(0.0), lambda t, op: t + F.element_at(costs, op)).alias("cost")))
+    return found.select("seen", summed.alias("cands")).where(F.size("cands") > 0)
 
 
 class Repair:
-    """Finds and mends the defects of texts; ``counts`` are (words, pairs)."""
-
-    def __init__(self, words: dict[str, int], pairs: dict[str, int]):
-        self.words, self.pairs, self.trie = words, pairs, Trie(words)
-        self.longest = max(map(len, words), default=0) + 2
-        self.memo: dict[str, list[str]] = {}
-
-    def candidates(self, seen: str) -> list[str]:
-        """Vocabulary words that one confusion explains, frequent enough beside what is written."""
-        found = self.memo.get(seen)
-        if found is None:
-            edits = 2 if regex.search(r"rn|vv|ii|cl|ri|nn|lc|m|n|d|w|u", seen) else 1
-            least = LEAST_COUNT if not WORD.match(seen) else max(LEAST_COUNT, RATIO * self.words.get(seen, 0) + 1)
-            found = [c for c in self.trie.within(seen, edits) if self.words[c] >= least and c != seen and explained(seen, c)] if 1 < len(seen) <= self.longest else []
-            if len(self.memo) > 300_000:
-                self.memo = {}
-            self.memo[seen] = found
-        return found
+    """Finds and mends the defects of a text by what is known of its tokens: (count, candidates <word, n, cost>) of each, and
+    counts of neighbouring words."""
+
+    def __init__(self, facts: dict[str, tuple[int, list[tuple[str, int, float]]]], pairs: dict[str, int]):
+        self.facts, self.pairs = facts, pairs
 
-    def best(self, seen: str, before: str, after: str) -> str | None:
-        """The candidate of highest frequency, weighed with the words beside it."""
-        found = self.candidates(seen)
+    def count(self, word: str) -> int:
+        return self.facts.get(word, (0, ()))[0]
+
+    def best(self, seen: str, before: str = "", after: str = "") -> str | None:
+        """The candidate of highest frequency, weighed with its confusions and the words beside it."""
+        found = self.facts.get(seen, (0, ()))[1]
         if len(found) < 2:
-            return found[0] if found else None
-        return max(found, key=lambda c: (math.log(self.words[c]) + 2 * math.log1p(self.pairs.get(f"{before} {c}", 0)) + 2 * math.log1p(self.pairs.get(f"{c} {after}", 0)), c))
+            return found[0][0] if found else None
+        return max(found, key=lambda c: (math.log(c[1]) - c[2] + 2 * math.log1p(self.pairs.get(f"{before} {c[0]}", 0)) + 2 * math.log1p(self.pairs.get(f"{c[0]} {after}", 0)), c[0]))[0]
 
     def misread(self, token: str, before: str = "", after: str = "") -> str | None:
         """The right word if a token is misread."""
-        if CODE.match(token):
-            return None
-        seen = token.lower()
-        bare = seen.strip("'’!|-")
-        letters = sum(c.isalpha() for c in seen)
-        if letters < 2 or letters * 2 < len(seen) or bare in self.words and bare != seen:
-            return None
-        if "-" in seen and regex.search(r"-\d|\d-", seen) and not WORD.match(seen) and regex.match(r"[A-Za-z]{1,3}-", token):
+        seen = suspect(token)
+        if seen is None or bare(seen) != seen and self.count(bare(seen)):
             return None
         return self.best(seen, before, after)
 
     def whole(self, a: str, b: str) -> tuple[str, bool]:
         """The word broken into ``a`` and ``b``, and whether it was misread too."""
-        joined, linked = (a + b).lower(), f"{a}-{b}".lower()
-        n, m = self.words.get(joined, 0), self.words.get(linked, 0)
+        joined, linked, tail, second = forms(a, b)
+        n, m = self.count(joined), self.count(linked)
         if n or m:
             word = joined if n >= m else linked
-            if (n or m) >= LEAST_COUNT and not (found := self.candidates(word)):
-                return word, False
-            elif found:
-                return max(found, key=lambda c: self.words[c]), True
-            return word, False
+            right = self.best(word)
+            return right or word, right is not None
         for w in (joined, linked):
-            if found := self.candidates(w):
-                return max(found, key=lambda c: self.words[c]), True
-        parts = a.lower().rpartition("-")[2] in self.words and b.lower() in self.words
-        return (linked if parts and len(b) > 3 else joined), False
+            if right := self.best(w):
+                return right, True
+        return (linked if self.count(tail) and self.count(second) and len(b) > 3 else joined), False
 
     def read(self, text: str, scanned: bool, lines: frozenset[str], n_pages: int) -> tuple[list[tuple[str, str]], str]:
         """The defects (kind, piece) of a text, and the text without them in paragraphs."""
@@ -264,15 +389,14 @@ class Repair:
         body = "\n".join(kept)
 
         def join(m: regex.Match) -> str:
-            a, b = m.group("a"), m.group("b")
-            if regex.fullmatch(r"[A-Z]{1,3}", a) and b[0].isdigit() or not any(c.isalpha() for c in a) or not any(c.isalpha() for c in b):
+            ab = parted(m)
+            if ab is None:
                 return m.group()
-            word, wrong = self.whole(a, b)
+            word, wrong = self.whole(*ab)
             defects.append(("hyphen", word))
             if wrong:
                 defects.append(("misread", word))
-            rest = text_case(word, a)
-            return rest + "\n"
+            return text_case(word, ab[0]) + "\n"
 
         body = BROKEN.sub(join, body)
         found = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(body)]
@@ -330,17 +454,60 @@ def reflow(text: str) -> str:
     return "\n\n".join(" ".join(p) for p in out if p)
 
 
-class Apply:
-    """(key, defects, text) for batches of (key, text, scanned, n_pages, lines)."""
+class Asked:
+    """(key, token, beside) for batches of (key, text): what a text has to ask about. Tokens come with each pair of words
+    they stand between, forms of broken words with none; words in ``plain`` are known to have no candidates."""
 
-    def __init__(self, counts):
-        self.counts = counts
+    def __init__(self, plain):
+        self.plain = plain
+
+    def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain = self.plain.value
+        for f in frames:
+            rows: set[tuple[int, str, str]] = set()
+            for key, text in zip(f["key"], f["text"], strict=True):
+                if not text:
+                    continue
+                found = [m.group() for m in TOKEN.finditer(BROKEN.sub(" ", text))]
+                for k, t in enumerate(found):
+                    low = t.lower()
+                    if low in plain or (seen := suspect(t)) is None:
+                        continue
+                    rows.add((key, seen, f"{found[k - 1].lower() if k else ''}\n{found[k + 1].lower() if k + 1 < len(found) else ''}"))
+                    if bare(seen) != seen:
+                        rows.add((key, bare(seen), ""))
+                rows.update((key, x, "") for m in BROKEN.finditer(text) if (ab := parted(m)) for x in forms(*ab) if x)
+            yield pd.DataFrame(sorted(rows), columns=["key", "token", "beside"])
+
+
+def known_of(pages: DataFrame, counts: DataFrame) -> DataFrame:
+    """(key, facts, pairs): what each text's odd and rare tokens are, and how often their candidates stand beside their
+    neighbours. Texts without such tokens have no row."""
+    found = cut(corrections(counts))
+    words = counts.where((F.col("kind") == "word") & (F.col("n") >= LEAST_COUNT)).select(F.col("a").alias("token"), F.col("n").alias("known"))
+    facts = words.join(found.withColumnRenamed("seen", "token"), "token", "full").select("token", F.coalesce("known", F.lit(0)).alias("known"), "cands")
+    plain = facts.where(F.col("cands").isNull()).orderBy(F.desc("known"), "token").limit(PLAIN).select("token")
+    shared = pages.sparkSession.sparkContext.broadcast(frozenset(r["token"] for r in plain.collect()))
+    asked = pages.select("key", "text").mapInPandas(Asked(shared), "key long, token string, beside string").distinct()
+    told = cut(asked.join(facts, "token"))
+    several = told.where((F.size("cands") > 1) & (F.col("beside") != "")).select("key", F.explode("cands").alias("c"), F.split("beside", "\n").alias("x"))
+    sides = F.array(F.concat_ws(" ", F.col("x")[0], F.col("c.word")), F.concat_ws(" ", F.col("c.word"), F.col("x")[1]))
+    pairs = counts.where("kind = 'pair'").select(F.col("a").alias("pair"), "n")
+    near = several.select("key", F.explode(sides).alias("pair")).distinct().join(pairs, "pair")
+    near = near.groupBy("key").agg(F.collect_list(F.struct("pair", "n")).alias("pairs"))
+    once = told.groupBy("key", "token").agg(F.first("known").alias("known"), F.first("cands").alias("cands"))
+    return once.groupBy("key").agg(F.collect_list(F.struct("token", "known", "cands")).alias("facts")).join(near, "key", "left")
+
+
+class Apply:
+    """(key, defects, text) for batches of (key, text, scanned, n_pages, lines, facts, pairs)."""
 
     def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        repair = Repair(*self.counts.value)
         for f in frames:
             found = []
-            for key, text, scanned, n_pages, lines in zip(f["key"], f["text"], f["scanned"], f["n_pages"], f["lines"], strict=True):
+            for key, text, scanned, n_pages, lines, facts, pairs in zip(*(f[c] for c in ("key", "text", "scanned", "n_pages", "lines", "facts", "pairs")), strict=True):
+                own = {x["token"]: (x["known"], [(c["word"], c["n"], c["cost"]) for c in x["cands"]] if x["cands"] is not None else []) for x in (facts if facts is not None else ())}
+                repair = Repair(own, {x["pair"]: x["n"] for x in (pairs if pairs is not None else ())})
                 defects, mended = repair.read(text, bool(scanned), frozenset(lines if lines is not None else ()), int(n_pages)) if text else ([], text)
                 found.append((key, [{"defect": d, "piece": p} for d, p in dict.fromkeys(defects)], mended))
             yield pd.DataFrame(found, columns=["key", "defects", "text"])
@@ -349,12 +516,15 @@ class Apply:
 def mended(pages: DataFrame) -> DataFrame:
     """(key, defects, text) of (key BIGINT, source, text): each text's defects (defect, piece) and its repaired form.
 
-    Keys are unique over the pages.
+    Keys are unique over the pages, but for repeated rows.
     """
     counts = survey(pages)
-    words, pairs = vocabulary(counts)
-    shared = pages.sparkSession.sparkContext.broadcast((words, pairs))
-    # one row per source on the right, so a source with many pages can be split
-    known = pages.select("key", "source", "text").where(F.col("key").isNotNull()).join(running_lines(counts), "source", "left")
-    ready = known.select("key", "text", F.col("n_pages").isNotNull().alias("scanned"), F.coalesce("n_pages", F.lit(0)).alias("n_pages"), "lines")
-    return ready.mapInPandas(Apply(shared), "key long, defects array<struct<defect:string,piece:string>>, text string")
+    keyed = pages.select("key", "source", "text").where(F.col("key").isNotNull())
+    told = known_of(keyed, counts)
+    # rows without a source need no lines; one row per source is on the right, so a source with many pages can be split
+    lines = running_lines(counts)
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("n_pages", "bigint"), ("lines", "array<string>"))]
+    sourced = keyed.where(F.col("source").isNotNull()).join(lines, "source", "left").select("key", "text", "n_pages", "lines")
+    ready = sourced.unionByName(keyed.where(F.col("source").isNull()).select("key", "text", *none)).join(told, "key", "left")
+    ready = ready.select("key", "text", F.col("n_pages").isNotNull().alias("scanned"), F.coalesce("n_pages", F.lit(0)).alias("n_pages"), "lines", "facts", "pairs")
+    return ready.mapInPandas(Apply(), "key long, defects array<struct<defect:string,piece:string>>, text string")
