@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from loomquill.session import cut
 
-LEAST_COUNT, RATIO, SHARE = 3, 50, 0.25
+LEAST_COUNT, RATIO, SHARE = 3, 50, 0.08
 #: Words of the vocabulary in one trie (some 30 MB), and frequent words without candidates that texts needn't ask about.
 SHARD, PLAIN = 500_000, 50_000
 #: What a printed character or pair may be read as, in lower case.

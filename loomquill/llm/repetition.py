@@ -7,7 +7,8 @@ probability of being repetitive, and that alone decides. No rule has a veto: one
 proved accurate. The number of patterns is at most 3 ** len(RULES), so the driver's part stays bounded whatever the number of
 texts.
 
-Defined results: null, empty and wordless texts have share 0 and abstain in every rule; rows without a key are
+Defined results: null, empty and wordless texts have share 0 and abstain in every rule; where all rules abstain the posterior
+is null and the text isn't judged repetitive; rows without a key are
 ignored; rows repeated under one key are one record; texts of any length are measured whole, a batch at a time, in
 linear time and a sort.
 """
@@ -125,8 +126,9 @@ def posterior(patterns: dict[str, int], rounds: int = 100) -> dict[str, float]:
 
     Given the class, rules are taken as independent. All start at the same accuracy of 0.8, with the weight of two texts, and
     are then what the texts make them; a rule is never taken to be worse than chance, so that the two classes can't change
-    places.
+    places. A pattern without any vote has no posterior: nothing is known of its texts.
     """
+    patterns = {p: n for p, n in patterns.items() if p.strip("-")}
     if not patterns:
         return {}
     names = sorted(patterns)
@@ -153,7 +155,7 @@ def judged(texts: DataFrame, rounds: int = 100) -> DataFrame:
     if not table:
         return scored.withColumn("posterior", F.lit(None).cast("double"))
     pairs = F.create_map(*[x for k, p in sorted(table.items()) for x in (F.lit(k), F.lit(float(p)))])
-    return scored.withColumn("posterior", F.element_at(pairs, F.col("votes")))
+    return scored.withColumn("posterior", F.try_element_at(pairs, F.col("votes")))
 
 
 def repetitive(texts: DataFrame, least: float = 0.5) -> DataFrame:
