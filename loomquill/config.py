@@ -4,45 +4,32 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-TEXT_MODELS = ("bge-small-en-v1.5", "bge-base-en-v1.5", "bge-large-en-v1.5", "e5-small-v2", "e5-base-v2", "e5-large-v2", "multilingual-e5-base", "multilingual-e5-large")
 STRATEGIES = ("simple", "recursive", "semantic")
 BOUNDS = {
-    "chunk_size": (250, 2000), "chunk_overlap": (10, 300), "semantic_window_size": (1, 20), "semantic_overlap": (1, 5), "max_chunk_tokens": (64, 512),
-    "max_batch_size": (1, None), "top_k": (1, None), "top_k_mmr": (1, None), "top_k_bm25": (1, None),
+    "chunk_size": (250, 2000), "chunk_overlap": (10, 300), "semantic_overlap": (1, 5), "max_chunk_tokens": (64, 512), "top_k": (1, None), "top_k_mmr": (1, None), "top_k_bm25": (1, None),
 }
 
 
 @dataclass(frozen=True)
 class EngineConfig:
-    """All settings; a value outside its bounds raises. An unknown strategy falls back to 'simple'."""
+    """All settings; a value outside its bounds raises. An unknown strategy falls back to 'simple'. ``text_model`` names a
+    registered embedding provider (``operators.embedding.register``)."""
 
-    dataset_folder_path: str = ""
     extract_images: bool = True
     image_store_folder: str = ""
     keep_chart_like: bool = True
     use_blip: bool = True
     use_chartqa: bool = True
-    ocr_langs: str = "en"
     chunk_strategy: str = "simple"
     chunk_size: int = 1800
     chunk_overlap: int = 200
-    semantic_model: str = "bge-base-en-v1.5"
-    semantic_window_size: int = 15
     semantic_overlap: int = 2
-    llm_token_model: str = "bge-base-en-v1.5"
     max_chunk_tokens: int = 512
-    is_ingestion: bool = True
-    text_model: str = "bge-base-en-v1.5"
-    clip_model: str = "clip-vit-base-patch32"
-    enable_clip_image_embeddings: bool = False
-    vector_store_type: str = "parquet"
-    vector_db_folder_path: str = ""
-    max_batch_size: int = 2000
+    text_model: str = "hash-64"
     base: str = "default"
     top_k: int = 3
     top_k_mmr: int = 20
     top_k_bm25: int = 10
-    debug: bool = False
     propagate_headings: bool = False
     drop_redundant_tail: bool = False
     dedupe_hybrid: bool = False

@@ -219,7 +219,7 @@ def chunk_text(text: str | None, config: EngineConfig, tokens: Tokens = regex_to
             packed = [q for p in cut if p for q in pack_sentences(tag_of(h1, h2, h3), p, EMBEDDER_CAP, tokens, drop_redundant_tail=config.drop_redundant_tail)]
             parts = [trim_tokens(q, config.max_chunk_tokens, tokens) for q in packed]
         else:
-            packed = pack_sentences(tag_of(h1, h2), body, EMBEDDER_CAP, tokens, drop_redundant_tail=config.drop_redundant_tail)
+            packed = pack_sentences(tag_of(h1, h2), body, EMBEDDER_CAP, tokens, overlap=config.semantic_overlap, drop_redundant_tail=config.drop_redundant_tail)
             parts = [trim_tokens(s, config.max_chunk_tokens, tokens) for q in packed for s in _slices(q, EMBEDDER_CAP, tokens)]
         out += [(n, k, p, h1, h2, h3) for k, p in enumerate(x for x in parts if x.strip())]
     return out

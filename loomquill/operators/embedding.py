@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,14 +32,27 @@ class HashEmbedder:
         return np.divide(out, norm, out=out, where=norm > 0)
 
 
+#: Embedding providers by name: functions that make an object with ``encode(texts) -> array``, as ``HashEmbedder`` is.
+PROVIDERS: dict[str, Callable[[], object]] = {"hash-64": HashEmbedder, "hash-256": lambda: HashEmbedder(256)}
+
+
+def register(name: str, make: Callable[[], object]) -> None:
+    """Lets ``make``, which the workers call once each, be chosen by name."""
+    PROVIDERS[name] = make
+
+
 def encoder(provider=None):
-    """A column function from texts to vectors; the provider is built once per worker. A null text is embedded as empty."""
-    provider = provider or HashEmbedder()
+    """A column function from texts to vectors, by a provider or the name of a registered one, which is then made on each
+    worker, once. A null text is embedded as empty."""
+    if isinstance(provider, str) and provider not in PROVIDERS:
+        raise ValueError(f"no embedding provider is registered as {provider}")
+    make = PROVIDERS[provider] if isinstance(provider, str) else (lambda: provider or HashEmbedder())
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        made = make()
         for b in batches:
-            yield pd.Series(list(provider.encode([x or "" for x in b]).astype(np.float32)))
+            yield pd.Series(list(made.encode([x or "" for x in b]).astype(np.float32)))
 
     return run
 
@@ -77,6 +90,7 @@ def request_id(*values: Column) -> Column:
 
 
 def encoded_requests(requests: DataFrame, provider=None) -> DataFrame:
-    """(request_id, message, embeddings, api) of the requests that have a question; others are dropped."""
+    """(request_id, message, embeddings, api, metadata) of the requests that have a question; others are dropped. The id is
+    the request's, or that in its metadata."""
     asked = requests.withColumn("message", question(F.col("api"), F.col("message"), F.col("text"))).where(F.col("message").isNotNull())
-    return asked.select(request_id(F.col("requestId"), F.col("request_id")).alias("request_id"), "message", encoder(provider)(F.col("message")).alias("embeddings"), "api")
+    return asked.select(request_id(F.col("requestId"), F.col("request_id"), F.col("metadata")["requestId"], F.col("metadata")["request_id"]).alias("request_id"), "message", encoder(provider)(F.col("message")).alias("embeddings"), "api", "metadata")

@@ -30,12 +30,19 @@ def ingest(docs: DataFrame, order: str, config: EngineConfig | None = None, prov
         meta = meta.withField("split_method", F.coalesce(meta["split_method"], F.col("split_method")))
         out[name] = pieces.select(F.struct(F.col(f"_key.{order}").alias("doc"), "section_ord", "piece_ord", "_key.digest").alias("ord"), F.col("chunk").alias("page_content"), meta.alias("metadata"))
     stubs = docs.where(from_image).select(F.struct(F.col(order).alias("doc"), F.lit(0).alias("section_ord"), F.lit(0).alias("piece_ord"), F.md5("page_content").alias("digest")).alias("ord"), "page_content", "metadata")
-    embedded = embedding.assembled(out["txt"], out["img_txt"], stubs, provider)
+    embedded = embedding.assembled(out["txt"], out["img_txt"], stubs, provider or config.text_model)
     rows = store.store_rows(embedded, config.base)
     key = store.content_id(F.col("base"), F.col("kind"), F.col("metadata.source"), F.col("metadata.page"), F.to_json(F.struct("ord.digest", "ord.section_ord", "ord.piece_ord")), F.col("document"))
     return rows.withColumn("id", key).select("id", "document", "metadata", "embedding", "base", "kind")
 
 
+def answer(requests: DataFrame, stored: DataFrame, image_rows: DataFrame, config: EngineConfig | None = None, provider=None, **more) -> DataFrame:
+    """Replies to requests as they come in (``schema.REQUEST_DDL``): those with a question are embedded and answered."""
+    config = config or EngineConfig()
+    asked = cut(embedding.encoded_requests(requests, provider or config.text_model))
+    return retrieve(asked, stored, image_rows, config, **more)
+
+
 def retrieve(requests: DataFrame, stored: DataFrame, image_rows: DataFrame, config: EngineConfig | None = None, scorer=retrieval.overlap_score, index: DataFrame | None = None) -> DataFrame:
     """One reply per request (request_id, message, embeddings, api) from store rows (key, document, metadata, embedding, kind).
 

@@ -91,7 +91,8 @@ def embedded_images(files: DataFrame, extractor: Extractor) -> DataFrame:
                     rows += [{"source": path, "error": None, **i} for i in extractor.images(content)]
                 except Exception as e:
                     rows.append({"source": path, "error": str(e)})
-            yield pd.DataFrame(rows, columns=names).astype({"page": "Int32", "xref": "Int32", "width": "Int32", "height": "Int32"})
+            # objects: texts beside missing ones would become chunked arrays, which Arrow doesn't take here
+            yield pd.DataFrame([[r.get(n) for n in names] for r in rows], columns=names, dtype=object).astype({"page": "Int32", "xref": "Int32", "width": "Int32", "height": "Int32"})
 
     return files.where(F.col("route") == "pdf").select("path", "content").mapInPandas(run, IMAGE_DDL)
 

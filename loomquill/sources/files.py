@@ -24,10 +24,10 @@ def scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def text_documents(files: DataFrame) -> DataFrame:
-    """(page_content, metadata) of text files: a whole file is one document without a page."""
+    """(page_content, metadata) of text files: a whole file is one document without a page; bytes that aren't UTF-8 become U+FFFD."""
     plain = files.where(F.col("route") == "text")
     meta = F.from_json(F.to_json(F.struct(F.regexp_replace("path", "^file:/*", "/").alias("source"), F.lit("text").alias("source_type"))), META_DDL)
-    return plain.select(F.decode("content", "UTF-8").alias("page_content"), meta.alias("metadata"))
+    return plain.select(F.make_valid_utf8(F.col("content").cast("string")).alias("page_content"), meta.alias("metadata"))
 
 
 def bundle(spark: SparkSession, path: str) -> DataFrame:

@@ -24,7 +24,7 @@ def documents(spark: SparkSession, folder: str, per_batch: int = 16) -> DataFram
 
 
 def requests(spark: SparkSession, folder: str, per_batch: int = 16) -> DataFrame:
-    """A stream of JSON lines of requests below a folder."""
+    """A stream of JSON lines of requests below a folder, for ``serve_stream`` with ``pipeline.answer``."""
     return spark.readStream.schema(REQUEST_DDL).option("maxFilesPerTrigger", per_batch).json(folder)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomquill.config import EngineConfig
 from loomquill.operators import embedding
-from loomquill.plans.pipeline import ingest, retrieve
+from loomquill.plans.pipeline import answer, ingest, retrieve
 from loomquill.schema import META_DDL
 from loomquill.sources import extract, files
 from loomquill.streaming import jobs
@@ -48,6 +48,84 @@ def test_folder(spark, tmp_path):
     assert [r["ocr"] for r in read] == ["seen plain"]
 
 
+def plain_pdf(pages, compress=True, tree=True):
+    """A hand-made PDF file: one content stream for each page, and a JPEG on the first one."""
+    import zlib
+
+    objects = {1: b"<< /Type /Catalog /Pages 2 0 R >>", 3: b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>"}
+    objects[4] = b"<< /Type /XObject /Subtype /Image /Width 200 /Height 100 /Filter /DCTDecode /Length 4 >>\nstream\n\xff\xd8\xff\xd9\nendstream"
+    kids = []
+    for i, text in enumerate(reversed(pages)):  # later pages first in the file
+        n = 10 + 2 * i
+        data = zlib.compress(text) if compress else text
+        objects[n] = b"<< /Length %d%s >>\nstream\n%s\nendstream" % (len(data), b" /Filter /FlateDecode" if compress else b"", data)
+        objects[n + 1] = b"<< /Type /Page /Parent 2 0 R /Resources << /Font << /F1 3 0 R >> /XObject << /I 4 0 R >> >> /Contents %d 0 R >>" % n
+        kids.insert(0, b"%d 0 R" % (n + 1))
+    objects[2] = b"<< /Type /Pages /Count %d /Kids [%s] >>" % (len(kids), b" ".join(kids))
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % x for x in objects.items()) + b"trailer << /Root 1 0 R >>\n%%EOF"
+
+
+PAGES = [rb"BT /F1 12 Tf 72 700 Td (Pump \(new\) m\374de) Tj 0 -14 Td [(The v) 20 (alve) -300 (opens)] TJ T* <4142> Tj ET", b"BT (Second page with enough words) Tj ET"]
+
+
+def test_plain_pdf():
+    from loomquill.sources.pdf import PlainPdf
+
+    for compress in (True, False):
+        content = plain_pdf(PAGES, compress)
+        assert PlainPdf().pages(content) == ["Pump (new) m\u00fcde\nThe valve opens\nAB", "Second page with enough words"]
+        assert [(i["page"], i["width"], i["height"], i["content"]) for i in PlainPdf().images(content)] == [(1, 200, 100, b"\xff\xd8\xff\xd9"), (2, 200, 100, b"\xff\xd8\xff\xd9")]
+    for bad in (b"", b"no pdf", b"%PDF-1.4 /Encrypt 5 0 R", plain_pdf(PAGES).replace(b"/Type1", b"/Type0")):
+        try:
+            pages = PlainPdf().pages(bad)
+        except ValueError:
+            continue
+        raise AssertionError(pages)
+    assert PlainPdf().whole(plain_pdf(PAGES)).startswith("Second page")
+
+
+def test_folder_to_documents(spark, tmp_path):
+    from loomquill.plans.extraction import documents as read_folder
+    from loomquill.sources.pdf import PlainPdf
+
+    def reader():
+        class Seen(PlainPdf):
+            def tables(self, content):
+                return [(2, ["a", None], [["1", " x "], ["a", ""]])]
+
+            def spans(self, content):
+                return [("seen text", 0.9)] if content.startswith(b"img") else []
+
+            def caption(self, content):
+                return "a valve" if content.startswith(b"img") else ""
+
+        return Seen()
+
+    for name, data in {"a.txt": b"plain text", "m.pdf": plain_pdf(PAGES), "bad.pdf": b"no pdf", "e.png": b"img", "f.html": b"no"}.items():
+        (tmp_path / name).write_bytes(data)
+    found = read_folder(spark, str(tmp_path), reader(), EngineConfig(image_store_folder="/img"))
+    got = [(r["page_content"], r["metadata"]) for r in found.orderBy("ord").collect()]
+    texts = {t for t, _ in got}
+    assert {"plain text", "Second page with enough words", "Row -> a: 1, : x", "a valve • seen text"} <= texts and any(t.startswith("| a |  |") for t in texts)
+    page = next(m for t, m in got if t.startswith("Pump"))
+    assert page["source"] == str(tmp_path / "m.pdf") and page["page"] == 1 and page["source_type"] == "text"
+    image = next(m for t, m in got if t.startswith("a valve"))
+    assert image["image_path"] == str(tmp_path / "e.png") and image["caption"] and image["ocr"] and not image["chartqa"]
+    assert len(got) == found.select("ord").distinct().count()
+    stored = ingest(found, "ord")
+    assert stored.where("kind = 'images'").count() == 1 and stored.where("document = 'Second page with enough words'").count() == 1
+    again = ingest(found.withColumn("ord", F.struct(F.lit("x").alias("path"), "ord.page", "ord.kind", "ord.at", "ord.part")), "ord")
+    assert {r["id"] for r in again.select("id").collect()} == {r["id"] for r in stored.select("id").collect()}  # ids don't depend on the scan
+
+
+def test_providers_by_name():
+    import pytest
+
+    assert embedding.PROVIDERS["hash-256"]().encode(["a"]).shape == (1, 256)
+    with pytest.raises(ValueError):
+        embedding.encoder("none such")
+
+
 def test_bundle_and_parsing(spark, tmp_path):
     (tmp_path / "b.json").write_text(json.dumps({"text_docs": [{"page_content": "x", "metadata": {"source": "/s", "page": 2}}], "source_dir": "/d"}))
     got = files.bundle(spark, str(tmp_path / "b.json")).collect()
@@ -115,6 +193,12 @@ def test_streams(spark, tmp_path):
     jobs.ingest_stream(jobs.documents(spark, p("in")), p("store", "t"), p("log", "1")).awaitTermination(120)
     jobs.ingest_stream(jobs.documents(spark, p("in")), p("store", "t"), p("log", "other")).awaitTermination(120)
     assert spark.read.parquet(p("store", "t")).count() == n
-    spark.createDataFrame([(1, "q")], "request_id long, message string").write.mode("append").json(p("ask"))
-    jobs.serve_stream(jobs.requests(spark, p("ask")), lambda r: r.select("request_id", F.upper("message").alias("reply")), p("out"), p("log", "2")).awaitTermination(120)
-    assert [tuple(r) for r in spark.read.parquet(p("out")).select("request_id", "reply").collect()] == [(1, "Q")]
+    lines = [{"metadata": {"requestId": "7", "user": "u"}, "api": [{"role": "system", "content": "be brief"}, {"role": "user", "content": "How is pump number 3 cleaned?"}]}, {"request_id": "8", "text": " "}, {"request_id": "9", "text": "pump number 5"}]
+    (tmp_path / "ask" / "1.json").write_text("\n".join(json.dumps(x) for x in lines))
+    stored = spark.read.parquet(p("store", "t")).withColumn("key", F.xxhash64("id"))
+    pictures = spark.createDataFrame([(1, "/m.pdf", 3, "/i/c.png")], "key long, source string, page int, image_path string")
+    jobs.serve_stream(jobs.requests(spark, p("ask")), lambda r: answer(r, stored, pictures), p("out"), p("log", "2")).awaitTermination(240)
+    got = {r["request_id"]: r for r in spark.read.parquet(p("out")).collect()}
+    assert set(got) == {7, 9} and all(r["status"] == "ok" and r["requestId"] == k for k, r in got.items())  # a request without a question is dropped
+    assert got[7]["metadata"] == {"requestId": "7", "user": "u"} and got[9]["metadata"] == {}
+    assert "number 3" in got[7]["value"][0]["document"][0] and got[7]["api"][0]["content"] == "be brief" and [m["role"] for m in got[7]["api"]][-1] == "user"
