@@ -262,7 +262,16 @@ def protect_tables(spark, d):
     return docs.select("item_id", F.md5(chunking.protected(F.col("page_content"))).alias("digest")).distinct()
 
 
-@query()
+# a line at a time: the fence that is open, the headings so far, and the section that the line belongs to
+@query(rf"""WITH RECURSIVE l AS (SELECT item_id, ls, len(ls) AS total FROM (SELECT DISTINCT item_id, string_split(page_content, chr(10)) AS ls FROM text_docs WHERE page_content IS NOT NULL)),
+st(item_id, ls, total, n, fence, h1, h2, h3, sec, line) AS (SELECT item_id, ls, total, 0, '', NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, 0, NULL::VARCHAR FROM l UNION ALL
+ SELECT item_id, ls, total, n + 1, CASE WHEN turns THEN CASE WHEN fence = '' THEN mark ELSE '' END ELSE fence END,
+ CASE WHEN lvl = 1 THEN title ELSE h1 END, CASE WHEN lvl = 1 THEN NULL WHEN lvl = 2 THEN title ELSE h2 END, CASE WHEN lvl IN (1, 2) THEN NULL WHEN lvl = 3 THEN title ELSE h3 END,
+ sec + CASE WHEN lvl > 0 THEN 1 ELSE 0 END, CASE WHEN lvl > 0 THEN NULL ELSE raw END FROM (
+  SELECT *, CASE WHEN fence = '' AND mark = '' AND NOT turns THEN length(regexp_extract(s, '^(#{{1,3}}){S}', 1)) ELSE 0 END AS lvl, {STRIP.format("regexp_extract(s, '^#{1,3}" + S + "+(.*)$', 1)")} AS title FROM (
+   SELECT *, mark <> '' AND (fence = '' OR mark = fence) AS turns FROM (SELECT *, CASE WHEN s[1:3] IN ('```', '~~~') THEN s[1:3] ELSE '' END AS mark FROM (SELECT *, ls[n + 1] AS raw, {STRIP.format("ls[n + 1]")} AS s FROM st WHERE n < total))))),
+b AS (SELECT item_id, sec, any_value(h1) AS h1, any_value(h2) AS h2, any_value(h3) AS h3, {STRIP.format("string_agg(line, chr(10) ORDER BY n)")} AS body FROM st WHERE line IS NOT NULL GROUP BY item_id, ls, sec)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY sec) - 1 AS INTEGER) AS section_no, h1, h2, h3, body FROM b WHERE body <> ''""")
 def markdown_sections(spark, d):
     docs = table(spark, d, "text_docs")
     return docs.select("item_id", F.posexplode(chunking.sections(F.col("page_content"))).alias("section_no", "s")).select("item_id", "section_no", "s.*").distinct()
@@ -286,7 +295,9 @@ def pack_sentences(spark, d):
     return docs.select("doc_id", F.posexplode(chunking.packed(128)(F.col("text"))).alias("chunk_no", "chunk"))
 
 
-@query()
+@query(f"""WITH t AS (SELECT doc_id, text, {TOKENS.format("text")} AS ws, regexp_split_to_array(text, '{X.TOKEN}') AS gaps FROM documents),
+s AS (SELECT *, list_sum(list_transform(gaps[1:257], lambda g: length(g))) + list_sum(list_transform(ws[1:256], lambda w: length(w))) AS room FROM t)
+SELECT doc_id, CASE WHEN len(ws) <= 256 THEN text ELSE substr(text, 1, CAST(length(text) - 50 * ceil((length(text) - room) / 50.0) AS BIGINT)) END AS text FROM s""")
 def token_trim(spark, d):
     return table(spark, d, "documents").select("doc_id", chunking.trimmed(256)(F.col("text")).alias("text"))
 
