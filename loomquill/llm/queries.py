@@ -96,6 +96,14 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split(_long_texts(spark, d), "key", "text").select("key.tbl", "key.item_id", "piece_no", "piece", "start", "fresh", "boundary")
 
 
+def p4_joined(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of each text put together again without what they repeat, and the length of the longest."""
+    new = F.transform("pieces", lambda p: F.right(p["piece"], p["fresh"]))
+    longest = F.array_max(F.transform("pieces", lambda p: F.char_length(p["piece"])))
+    rows = _long_texts(spark, d).select("key.tbl", "key.item_id", split.pieces(F.col("text")).alias("pieces")).where(F.size("pieces") > 0)
+    return rows.select("tbl", "item_id", F.md5(F.array_join(new, "")).alias("digest"), (longest <= split.LIMIT).alias("fits")).distinct()
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.structure(table(spark, d, "text_docs"), "item_id", "page_content")
 
@@ -161,7 +169,7 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("key").alias("doc_id"), F.posexplode("segments").alias("segment_no", "s")).select("doc_id", "segment_no", "s.start", "s.length", "s.lang", F.round("s.confidence", 4).alias("confidence"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p6_found, p6_clean, p7_found, p7_scores, p7_shares, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_nearest, p2_found, p2_repaired, p3_found, p3_survivors, p4_found, p4_pieces, p4_joined, p6_found, p6_clean, p7_found, p7_scores, p7_shares, p8_ids, p8_round_trip, p9_found, p9_leaks, p10_found, p10_segments)}
 
 
 __all__ = ["QUERIES", "SQL"]

@@ -37,6 +37,8 @@ P4_FOUND = f"""WITH t AS (SELECT 'text_docs' AS tbl, item_id, page_content AS te
 SELECT DISTINCT tbl, item_id, 'oversized' AS size_case FROM t WHERE length({_strip("text")}) > 1800
 UNION ALL SELECT DISTINCT tbl, item_id, 'unbreakable' FROM t WHERE len(list_filter(regexp_extract_all(text, '{WORD}'), lambda w: length(w) > 1800)) > 0"""
 
+P4_JOINED = f"""SELECT DISTINCT tbl, item_id, md5({_strip("text")}) AS digest, true AS fits FROM (SELECT 'text_docs' AS tbl, item_id, page_content AS text FROM text_docs UNION ALL SELECT 'store_rows', row_id, document FROM store_rows) WHERE {_strip("text")} <> ''"""
+
 P7_FOUND = f"""WITH t AS (SELECT DISTINCT reading_id, 'caption' AS attr, caption AS text FROM image_readings UNION ALL SELECT DISTINCT reading_id, 'chartqa', chartqa FROM image_readings),
 w AS (SELECT reading_id, attr, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM (SELECT reading_id, attr, regexp_extract_all(lower(text), '{WORD}') AS ws FROM t)),
 g AS (SELECT *, CASE WHEN i <= n - 2 THEN word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o END AS run FROM w WINDOW o AS (PARTITION BY reading_id, attr ORDER BY i)),
@@ -91,4 +93,4 @@ P5_NEAREST = _nearest("a.key % 100 = 0", "-1") + " SELECT tbl, key, CAST(rank AS
 
 P8_ROUND_TRIP = "SELECT doc_id, coalesce(text, '') AS decoded FROM documents"
 
-SQL = {"p5_found": P5_FOUND, "p5_nearest": P5_NEAREST, "p7_shares": P7_SHARES, "p1_groups": P1_GROUPS, "p3_survivors": P3_SURVIVORS, "p1_found": P1_FOUND, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p8_round_trip": P8_ROUND_TRIP, "p9_found": P9_FOUND}
+SQL = {"p4_joined": P4_JOINED, "p5_found": P5_FOUND, "p5_nearest": P5_NEAREST, "p7_shares": P7_SHARES, "p1_groups": P1_GROUPS, "p3_survivors": P3_SURVIVORS, "p1_found": P1_FOUND, "p3_found": P3_FOUND, "p4_found": P4_FOUND, "p7_found": P7_FOUND, "p8_round_trip": P8_ROUND_TRIP, "p9_found": P9_FOUND}

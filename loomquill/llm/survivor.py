@@ -61,7 +61,7 @@ def survivors(records: DataFrame, trust: DataFrame) -> DataFrame:
     levels = trust.where(F.col("extractor").isNotNull()).groupBy("extractor").agg(F.max("trust_level").cast("long").alias("_level"))
     rows = (
         records.select("rec_id", "metadata", "source_dir", "extractor", "ingested_at")
-        .where(F.col("rec_id").isNotNull())
+        .where(F.col("rec_id").isNotNull() & (strip(F.col("metadata.image_path")) != ""))
         .join(levels, "extractor", "left")
         .select(
             "rec_id",
@@ -70,7 +70,6 @@ def survivors(records: DataFrame, trust: DataFrame) -> DataFrame:
             F.coalesce("_level", F.lit(LEAST)).alias("_level"),
             F.coalesce(F.unix_micros(F.col("ingested_at").cast("timestamp")), F.lit(LEAST)).alias("_at"),
         )
-        .where(F.col("_file").isNotNull())
     )
     best = [F.max(F.when(_valid(a), F.struct(F.col("_level").alias("level"), F.col("_at").alias("at"), (-F.col("rec_id")).alias("minus_id"), F.col(f"metadata.{a}").alias("value")))).alias(a) for a in ATTRIBUTES]
     return rows.groupBy("_file").agg(F.min("rec_id").alias("group_id"), (F.min("rec_id") != F.max("rec_id")).alias("n_records_above_one"), *best).withColumnRenamed("_file", "file")
