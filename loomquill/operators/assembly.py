@@ -59,13 +59,18 @@ def merge_by_page(hits: DataFrame, rank: str = "rank", most: int = 1600) -> Data
     return merged.select("query", "source", "page", "rank", cut_at_space(text, most).alias("text"), "metadata")
 
 
-def page_images(pages: DataFrame, images: DataFrame, order: str, per_page: int = 3, total: int = 8) -> DataFrame:
+def page_images(pages: DataFrame, images: DataFrame, order: str, per_page: int = 3, total: int = 8, pathless_count: bool = False) -> DataFrame:
     """(query, source, page, image_path, n): images of the pages (query, source, page, rank), up to ``per_page`` of each.
 
-    Pages go on until ``total`` is reached, which is looked at between pages only; of one path the first stays.
+    Pages go on until ``total`` is reached, which is looked at between pages only; of one path the first stays. With
+    ``pathless_count`` rows without a path take a page's places too, as in a store kept in a relational database.
     """
-    with_path = images.where(F.col("image_path").isNotNull() & (F.col("image_path") != "") & F.col("page").isNotNull())
-    first = with_path.withColumn("_n", F.row_number().over(Window.partitionBy("source", "page").orderBy(order))).where(F.col("_n") <= per_page)
+    has_path = F.col("image_path").isNotNull() & (F.col("image_path") != "")
+    on_page = Window.partitionBy("source", "page").orderBy(order)
+    known = images.where(F.col("page").isNotNull())
+    if pathless_count:
+        known = known.withColumn("_n", F.row_number().over(on_page)).where(F.col("_n") <= per_page)
+    first = known.where(has_path).withColumn("_n", F.row_number().over(on_page)).where(F.col("_n") <= per_page)
     asked = pages.where(F.col("source").isNotNull() & F.col("page").isNotNull()).groupBy("query", "source", "page").agg(F.min("rank").alias("rank"))
     found = asked.join(first.select("source", "page", "image_path", "_n"), ["source", "page"])
     in_order = Window.partitionBy("query").orderBy("rank", "_n")

@@ -167,6 +167,21 @@ def test_insert_if_absent_is_idempotent(spark, tmp_path):
     assert read(spark, path, "b", "images").count() == 1
 
 
+def test_relational_store(spark):
+    from loomquill.sources.files import jdbc_store
+
+    url, driver = "jdbc:derby:memory:store;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    columns = "id string, document string, s string"
+    rows_of = lambda items: spark.createDataFrame(items, columns).select("id", "document", meta(source=F.col("s"), page=3).alias("metadata"), F.array(F.lit(0.5), F.lit(-2.0)).cast("array<float>").alias("embedding"))
+    empty = "id varchar(99), document varchar(999), metadata varchar(9999), embedding varchar(999)"
+    spark.createDataFrame([], "id string, document string, metadata string, embedding string").write.format("jdbc").options(url=url, dbtable="docs", createTableColumnTypes=empty, **driver).save()
+    assert store.jdbc_insert_if_absent(rows_of([("a", "x", "/m.pdf"), ("b", "y", None)]), url, "docs", **driver) == 2
+    assert store.jdbc_insert_if_absent(rows_of([("b", "new", None), ("c", "z", None), ("c", "zz", None)]), url, "docs", **driver) == 3
+    got = {r["id"]: r for r in jdbc_store(spark, url, "docs", **driver).collect()}
+    assert set(got) == {"a", "b", "c"} and got["b"]["document"] == "y" and got["a"]["embedding"] == [0.5, -2.0]
+    assert got["a"]["metadata"]["source"] == "/m.pdf" and got["a"]["metadata"]["page"] == 3
+
+
 def test_positional_ids(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("o"), (F.col("id") % 3 == 0).alias("g"))
     out = store.positional_ids(df.repartition(7), ["g"], "o", F.lit("t")).orderBy("g", "o").collect()
@@ -262,6 +277,9 @@ def test_page_images_stop_between_pages(spark):
     pictures = [("/s", p, f"/i/{p}{k}.png", 10 * p + k) for p, n in ((1, 4), (2, 3), (3, 1), (4, 3)) for k in range(n)] + [("/s", 1, None, 1), ("/s", 1, "", 2)]
     out = assembly.page_images(pages, spark.createDataFrame(pictures, "source string, page int, image_path string, o int"), "o")
     assert out.count() == 10 and out.where("query = 2").count() == 0
+    some = spark.createDataFrame([("/s", 1, None, 1), ("/s", 1, "", 2), ("/s", 1, "/a", 3), ("/s", 1, "/b", 4)], "source string, page int, image_path string, o int")
+    assert {r["image_path"] for r in assembly.page_images(pages, some, "o").collect()} == {"/a", "/b"}
+    assert {r["image_path"] for r in assembly.page_images(pages, some, "o", pathless_count=True).collect()} == {"/a"}
     link = assembly.links(spark.createDataFrame([("/a b/é.png",)], "image_path string")).first()
     assert link["md_link"] == "[é.png](file:///a%20b/%C3%A9.png)"
 
