@@ -44,7 +44,9 @@ BY_FIRST: dict[str, list[tuple[str, str]]] = {}
 for _a, _b in PAIRS:
     BY_FIRST.setdefault(_a[0], []).append((_a, _b))
 HYPHENS = "-¬­‐‑"
-BROKEN = regex.compile(rf"(?<![\p{{L}}\p{{N}}@!|-])(?P<a>[\p{{L}}\p{{N}}@!|][\p{{L}}\p{{N}}@!|-]*?)[{HYPHENS}][ \t]?\r?\n[ \t]*(?P<b>[\p{{L}}\p{{N}}@!|][\p{{L}}\p{{N}}@!|-]*)")
+#: What follows a word broken at a line end: the hyphen, the break and the word's second part.
+BREAK = regex.compile(rf"[{HYPHENS}][ \t]?\r?\n[ \t]*(?P<b>[\p{{L}}\p{{N}}@!|][\p{{L}}\p{{N}}@!|-]*)")
+PART, LETTER = regex.compile(r"[\p{L}\p{N}@!|-]"), regex.compile(r"\p{L}")
 TOKEN = regex.compile(r"[^\s.,;:()\[\]{}\"“”«»?<>/\\=*_`~^#&%+•–—·]+")
 CODE = regex.compile(r"[A-Z]{1,4}-?\d[\dA-Z]*$|[\d.,-]+$|\d+[a-z]{1,3}$")
 WORD = regex.compile(r"\p{L}+(?:-\p{L}+)*$")
@@ -82,7 +84,28 @@ def wrapped(text: str) -> bool:
         run = run + 1 if s and len(s) < 110 and s[0] not in "|{<\\#=`-*+" and " " in s else 0
         if run >= 3:
             return True
-    return bool(BROKEN.search(text))
+    return bool(broken(text))
+
+
+def broken(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, first part, second part) of the words broken at line ends."""
+    found = []
+    for m in BREAK.finditer(text):
+        start = m.start()
+        while start > 0 and PART.match(text[start - 1]):
+            start -= 1
+        if start < m.start() and text[start] != "-":
+            found.append((start, m.end(), text[start : m.start()], m.group("b")))
+    return found
+
+
+def unbroken(text: str, found: list[tuple[int, int, str, str]]) -> str:
+    """The text with a blank in the place of each broken word."""
+    out, at = [], 0
+    for start, end, _, _ in found:
+        out += [text[at:start], " "]
+        at = end
+    return "".join([*out, text[at:]])
 
 
 def is_page_number(line: str) -> bool:
@@ -97,7 +120,7 @@ def could_run(line: str) -> bool:
 
 
 def tokens(text: str) -> list[str]:
-    return [t for t in TOKEN.findall(text) if any(c.isalpha() for c in t)]
+    return [t for t in TOKEN.findall(text) if LETTER.search(t)]
 
 
 def suspect(token: str) -> str | None:
@@ -117,12 +140,9 @@ def bare(seen: str) -> str:
     return seen.strip("'’!|-")
 
 
-def parted(m: regex.Match) -> tuple[str, str] | None:
-    """The two parts of a word broken at a line end, or None if it is no word."""
-    a, b = m.group("a"), m.group("b")
-    if rx(r"[A-Z]{1,3}").fullmatch(a) and b[0].isdigit() or not any(c.isalpha() for c in a) or not any(c.isalpha() for c in b):
-        return None
-    return a, b
+def is_word(a: str, b: str) -> bool:
+    """Whether the two parts of what is broken at a line end make a word rather than a code."""
+    return not (rx(r"[A-Z]{1,3}").fullmatch(a) and b[0].isdigit()) and bool(LETTER.search(a) and LETTER.search(b))
 
 
 def forms(a: str, b: str) -> tuple[str, ...]:
@@ -135,34 +155,35 @@ class Survey:
     ('line', key of the line with its source) and ('page', source)."""
 
     def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[str, str] = {}  # a token as a word in lower case, or ''
         for f in frames:
             words: Counter[str] = Counter()
             odd: Counter[str] = Counter()
-            pairs: Counter[str] = Counter()
-            broken: set[str] = set()
+            pairs: Counter[tuple[str, str]] = Counter()
+            parts: set[str] = set()
             rows: list[tuple] = []
+            if len(known) > 500_000:
+                known = {}
             for key, source, text in zip(f["key"], f["source"], f["text"], strict=True):
                 if not text:
                     continue
-                found = []
-                for t in tokens(BROKEN.sub(" ", text)):
-                    if WORD.match(t):
-                        found.append(t.lower())
-                        continue
-                    found.append("")
-                    if (seen := suspect(t)) is not None:
-                        odd[seen] += 1
-                words.update(w for w in found if w)
-                pairs.update(f"{a} {b}" for a, b in zip(found, found[1:], strict=False) if a and b)
-                broken.update(x for m in BROKEN.finditer(text) if (ab := parted(m)) for x in forms(*ab) if x)
+                cuts = broken(text)
+                own = tokens(unbroken(text, cuts))
+                for t in set(own).difference(known):
+                    known[t] = t.lower() if WORD.match(t) else ""
+                found = [known[t] for t in own]
+                words.update(found)
+                odd.update(t for t in own if not known[t])
+                pairs.update(zip(found, found[1:], strict=False))
+                parts.update(x for _, _, a, b in cuts if is_word(a, b) for x in forms(a, b) if x)
                 if source is None:
                     continue
                 hard = wrapped(text)
                 rows.append(("page", source, "", key, int(hard)))
                 if hard:
                     rows += [("line", source, k, key, 1) for k in {line_key(x) for x in text.splitlines() if x.strip() and could_run(x)} if k]
-            rows += [("word", w, "", None, n) for w, n in words.items()] + [("pair", w, "", None, n) for w, n in pairs.items()]
-            rows += [("odd", w, "", None, n) for w, n in odd.items()] + [("form", w, "", None, 0) for w in broken]
+            rows += [("word", w, "", None, n) for w, n in words.items() if w] + [("pair", f"{a} {b}", "", None, n) for (a, b), n in pairs.items() if a and b]
+            rows += [("odd", seen, "", None, n) for t, n in odd.items() if (seen := suspect(t)) is not None] + [("form", w, "", None, 0) for w in parts]
             yield pd.DataFrame(rows, columns=["kind", "a", "b", "key", "n"])
 
 
@@ -306,7 +327,8 @@ def corrections(counts: DataFrame) -> DataFrame:
     context = counts.sparkSession.sparkContext
     known = F.sum(F.when((F.col("kind") == "word") & (F.col("n") >= LEAST_COUNT), F.col("n")).otherwise(0)).alias("known")
     asked = counts.where("kind in ('word', 'odd', 'form')").groupBy(F.col("a").alias("seen")).agg(F.sum("n").alias("n"), known)
-    asked = cut(asked.repartition("seen"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = cut(asked.repartition(tasks, "seen"))  # few bytes, but each a walk through the trie
     words = counts.where((F.col("kind") == "word") & (F.col("n") >= LEAST_COUNT)).select("a", "n")
     shards = -(-words.count() // SHARD)
     parts = []
@@ -351,6 +373,8 @@ class Repair:
 
     def misread(self, token: str, before: str = "", after: str = "") -> str | None:
         """The right word if a token is misread."""
+        if token.lower() not in self.facts:
+            return None
         seen = suspect(token)
         if seen is None or bare(seen) != seen and self.count(bare(seen)):
             return None
@@ -387,29 +411,30 @@ class Repair:
                     continue
             kept.append(line)
         body = "\n".join(kept)
-
-        def join(m: regex.Match) -> str:
-            ab = parted(m)
-            if ab is None:
-                return m.group()
-            word, wrong = self.whole(*ab)
-            defects.append(("hyphen", word))
-            if wrong:
-                defects.append(("misread", word))
-            return text_case(word, ab[0]) + "\n"
-
-        body = BROKEN.sub(join, body)
-        found = [(m.start(), m.end(), m.group()) for m in TOKEN.finditer(body)]
         out: list[str] = []
         at = 0
-        for k, (start, end, token) in enumerate(found):
-            before = found[k - 1][2].lower() if k else ""
-            after = found[k + 1][2].lower() if k + 1 < len(found) else ""
+        for start, end, a, b in broken(body):
+            if is_word(a, b):
+                word, wrong = self.whole(a, b)
+                defects.append(("hyphen", word))
+                if wrong:
+                    defects.append(("misread", word))
+                out += [body[at:start], text_case(word, a) + "\n"]
+                at = end
+        body = "".join([*out, body[at:]])
+        found = list(TOKEN.finditer(body)) if self.facts else []
+        out, at = [], 0
+        for k, m in enumerate(found):
+            token = m.group()
+            if token.lower() not in self.facts:
+                continue
+            before = found[k - 1].group().lower() if k else ""
+            after = found[k + 1].group().lower() if k + 1 < len(found) else ""
             right = self.misread(token, before, after)
             if right:
                 defects.append(("misread", right))
-                out += [body[at:start], text_case(right, token)]
-                at = end
+                out += [body[at : m.start()], text_case(right, token)]
+                at = m.end()
         out.append(body[at:])
         return defects, reflow("".join(out)) if scanned else "".join(out)
 
@@ -463,21 +488,27 @@ class Asked:
 
     def __call__(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         plain = self.plain.value
+        known: dict[str, str | None] = {}  # what a token asks about, if anything
         for f in frames:
             rows: set[tuple[int, str, str]] = set()
+            if len(known) > 500_000:
+                known = {}
             for key, text in zip(f["key"], f["text"], strict=True):
                 if not text:
                     continue
-                found = [m.group() for m in TOKEN.finditer(BROKEN.sub(" ", text))]
+                cuts = broken(text)
+                found = TOKEN.findall(unbroken(text, cuts))
+                for t in set(found).difference(known):
+                    known[t] = None if t.lower() in plain else suspect(t)
                 for k, t in enumerate(found):
-                    low = t.lower()
-                    if low in plain or (seen := suspect(t)) is None:
+                    seen = known[t]
+                    if seen is None:
                         continue
                     rows.add((key, seen, f"{found[k - 1].lower() if k else ''}\n{found[k + 1].lower() if k + 1 < len(found) else ''}"))
                     if bare(seen) != seen:
                         rows.add((key, bare(seen), ""))
-                rows.update((key, x, "") for m in BROKEN.finditer(text) if (ab := parted(m)) for x in forms(*ab) if x)
-            yield pd.DataFrame(sorted(rows), columns=["key", "token", "beside"])
+                rows.update((key, x, "") for _, _, a, b in cuts if is_word(a, b) for x in forms(a, b) if x)
+            yield pd.DataFrame(list(rows), columns=["key", "token", "beside"])
 
 
 def known_of(pages: DataFrame, counts: DataFrame) -> DataFrame:
