@@ -52,9 +52,12 @@ CODE = regex.compile(r"[A-Z]{1,4}-?\d[\dA-Z]*$|[\d.,-]+$|\d+[a-z]{1,3}$")
 WORD = regex.compile(r"\p{L}+(?:-\p{L}+)*$")
 PAGE = regex.compile(r"[-–—|\[(.·*~=<]*\s*(?:(?:page|pag|pg|p|seite|sheet|folio)\.?\s*)?(?:\d{1,4}|[ivxlc]{1,8})(?:\s*(?:of|/|von|de|sur)\s*\d{1,4})?\s*[-–—|\]).·*~=>]*$", regex.I)
 EDGE_NUMBER = regex.compile(r"^(?:[-–|\[(]?\s*\d{1,4}\s*[-–|\])]?\s+)|(?:\s+[-–|\[(]?\s*\d{1,4}\s*[-–|\])]?)$")
-#: Confusable characters folded together, to compare whole lines.
-FOLD = str.maketrans({"0": "o", "c": "o", "e": "o", "@": "a", "4": "a", "1": "l", "i": "l", "!": "l", "|": "l", "5": "s", "$": "s", "6": "b", "h": "b", "8": "b", "f": "t", "9": "g", "q": "g", "u": "n", "y": "v", "2": "z"})
-FOLD_PAIRS = (("rn", "m"), ("nn", "m"), ("ln", "m"), ("ol", "d"), ("rl", "n"), ("lo", "k"), ("ll", "n"), ("vv", "w"))  # after FOLD
+#: Characters that are taken for each other folded together, to compare whole lines: strokes are l, whatever their number.
+FOLD = str.maketrans(
+    {"0": "o", "c": "o", "e": "o", "@": "a", "4": "a", "1": "l", "i": "l", "!": "l", "|": "l", "r": "l", "n": "l", "u": "l", "m": "l", "5": "s", "$": "s", "6": "b", "h": "b", "8": "b"}
+    | {"f": "t", "+": "t", "9": "g", "q": "g", "y": "v", "2": "z", "d": "ol", "k": "lo", "w": "vv"}
+)
+STROKES = regex.compile("l+")
 
 
 @lru_cache(maxsize=None)
@@ -70,10 +73,7 @@ def squeeze(line: str) -> str:
 def line_key(line: str) -> str:
     """A line without page number, case and differences that misreading may make."""
     plain = EDGE_NUMBER.sub("", squeeze(line)).lower()
-    plain = plain.translate(FOLD)
-    for seen, right in FOLD_PAIRS:
-        plain = plain.replace(seen, right)
-    return plain
+    return STROKES.sub("l", plain.translate(FOLD))
 
 
 def wrapped(text: str) -> bool:
