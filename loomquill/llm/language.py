@@ -5,13 +5,17 @@ fixed length and ends in a softmax. It is trained in numpy at the time of the qu
 labelled rows (at most SAMPLE_DOCS documents per language, SAMPLE_SENTENCES sentences of each, SAMPLE_WINDOWS windows); sentences whose label
 the half-trained network contradicts are set aside as mislabelled and the network is trained again without them. The weights (about 100 kB) are broadcast;
 applying them needs no shuffle. A sentence's confidence is the probability of its language by its windows together; sentences
-below SURE take the language of the document's sure ones, with its probability; neighbouring sentences of one language form
-a segment with the mean of theirs. A language exists if the sample holds LEAST_SENTENCES of its sentences or, where none
+below SURE (those of few words or ending in an ellipsis below SURE_SHORT) take the likeliest language of the document's sure ones, with its probability; neighbouring
+sentences of one language form a segment with the mean of theirs. Headings and unfinished lines belong to segments too: those of
+four words or more to their own language from SURE_SHORT on, others to that of the piece before or after, whichever is likelier; they
+count for the confidence only where a segment has no sentence. A language exists if the sample holds LEAST_SENTENCES of its sentences or, where none
 has so many, one; texts in others go to the nearest.
 
-Defined results: null, empty and blank texts and texts without a sentence have no segments; a sentence ends with a mark
-(. ! ? or their full-width forms) and has at least four words, or six letters in scripts without blanks; labels are compared
-as ISO 639-1 codes, whatever their spelling; rows without a key are ignored; rows repeated under one key give the same rows again; without labelled rows there are no
+Defined results: null, empty and blank texts and texts without a word have no segments; a sentence ends with a mark
+(. ! ? … or those of other scripts) and has at least one word; a mark before a small letter or a digit ends none of under four
+words (six letters in scripts without blanks), as after abbreviations, nor does one after a single letter, nor an ellipsis; only sentences decide about labels and mixtures, and a text
+whose sentences all have few words contradicts its label only if one is sure; labels are compared as ISO 639-1 codes, whatever
+their spelling; rows without a key are ignored; rows repeated under one key give the same rows again; without labelled rows there are no
 languages and no segments.
 """
 
@@ -36,11 +40,16 @@ SPELLINGS = {
 }
 WINDOW, WIDTHS, FILTERS, EMBEDDED = 96, (2, 3, 5), 48, 12
 SAMPLE_DOCS, SAMPLE_SENTENCES, SAMPLE_WINDOWS, LEAST_SENTENCES, SURE = 300, 6, 12_000, 20, 0.8
-END = regex.compile(r"[.!?][\"'”»)\]*_]{0,3}(\s+)|[。！？][」』）]?(\s*)|(\n\s*\n)")
+SURE_SHORT, WORDS, LETTERS = 0.95, 4, 6
+CLOSERS = "\"'’”“»«›‹)]}*_`」』）】〉》"
+END = regex.compile(rf"[.!?…][{regex.escape(CLOSERS)}]*+(\s+|(?=\p{{Lu}}\p{{Ll}}))|(?![.!?．])\p{{STerm}}[’”」』）】〉》]*+(\s*)|．(?!\p{{N}})[’”」』）】〉》]*+(\s*)|(\n\s*\n)")
 FORMAT, DIGITS, BLANKS = regex.compile(r"\p{Cf}"), regex.compile(r"\d+"), regex.compile(r"\s+")
-WHOLE = regex.compile(r"[.!?。！？][\"'”»)\]*_」』）]{0,3}$")
-WORD = regex.compile(r"\p{L}{2,}")
-UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]")
+MARK = regex.compile(r"[\p{STerm}…]")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]+")
+PLAIN_WORD = regex.compile(r"(?<![\p{L}\p{M}\p{N}_-])\p{L}[\p{L}\p{M}]+(?![\p{L}\p{M}]|[-_]?\p{N})")  # no part of a code such as KF-25311
+SMALL = regex.compile(r"[^\p{L}\p{N}]*[\p{Ll}\p{N}]")
+INITIAL = regex.compile(r"(?<![\p{L}\p{N}])\p{L}\.$")
+UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
 
 def normal_label(c: Column) -> Column:
@@ -50,19 +59,39 @@ def normal_label(c: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), bare)
 
 
-def sentences(text: str | None) -> list[tuple[int, int]]:
-    """(start, end) of the whole sentences of a text."""
-    found = []
-    at = 0
+def pieces(text: str | None) -> list[tuple[int, int, bool, bool]]:
+    """(start, end, is it a whole sentence, has it four words or more and doesn't trail off) of everything with words in a text."""
+    found: list[tuple[int, int, bool, int, int, bool]] = []
     if not text:
-        return found
+        return []
+    at, apart = 0, True
     for start, end in [m.span(m.lastindex) for m in END.finditer(text)] + [(len(text), len(text))]:
         piece = text[at:start].strip()
-        if piece and WHOLE.search(piece) and (len(WORD.findall(piece)) >= 4 or len(UNSPACED.findall(piece)) >= 6):
-            a = at + len(text[at:start]) - len(text[at:start].lstrip())
-            found.append((a, a + len(piece)))
-        at = end
-    return found
+        if piece:
+            a = start - len(text[at:start].lstrip())
+            b = a + len(piece)
+            words = len(WORD.findall(piece))
+            letters = 0 if words >= WORDS else len(UNSPACED.findall(piece))
+            many = words >= WORDS or letters >= LETTERS
+            any_word = many or letters > 0 or PLAIN_WORD.search(piece) is not None
+            last = piece.rstrip(CLOSERS)[-1:]
+            whole = MARK.match(last) is not None and (many or last != "…")
+            short = found and whole and not apart and not (many and _many(found[-1]))
+            if short and (SMALL.match(piece) or INITIAL.search(text, max(found[-1][0], found[-1][1] - 3), found[-1][1])):
+                a, _, _, w, c, some = found.pop()
+                words, letters, any_word = words + w, letters + c, any_word or some
+            found.append((a, b, whole, words, letters, any_word))
+        apart, at = text.count("\n", start, end) > 1, end
+    return [(*p[:3], _many(p) and text[p[0] : p[1]].rstrip(CLOSERS)[-1:] != "…") for p in found if p[5]]
+
+
+def _many(piece: tuple[int, int, bool, int, int, bool]) -> bool:
+    return piece[3] >= WORDS or piece[4] >= LETTERS
+
+
+def sentences(text: str | None) -> list[tuple[int, int]]:
+    """(start, end) of the whole sentences of a text, however short."""
+    return [(a, b) for a, b, whole, _ in pieces(text) if whole]
 
 
 def window_bytes(sentence: str) -> list[bytes]:
@@ -205,8 +234,12 @@ def train(docs: DataFrame, seed: int = 7) -> Network:
     return net
 
 
+#: n: whole sentences in the segment; firm: whether one of them has four words or more, or is sure
+SEGMENTS = "array<struct<start:int,length:int,lang:string,confidence:double,n:int,firm:boolean>>"
+
+
 class Classify:
-    """(key, segments) for batches of (key, text): arrays of (start, length, lang, confidence)."""
+    """(key, segments) for batches of (key, text): arrays of SEGMENTS."""
 
     def __init__(self, net):
         self.net = net
@@ -217,8 +250,8 @@ class Classify:
         for whole in frames:
             for at in range(0, len(whole), 1000):
                 f = whole.iloc[at : at + 1000]
-                spans = [sentences(t) for t in f["text"]]
-                texts = [t[a:b] for t, s in zip(f["text"], spans, strict=True) for a, b in s]
+                spans = [pieces(t) for t in f["text"]]
+                texts = [t[a:b] for t, s in zip(f["text"], spans, strict=True) for a, b, *_ in s]
                 if len(known) > 100_000:
                     known = {}
                 new = [x for x in dict.fromkeys(texts) if x not in known]
@@ -241,26 +274,38 @@ class Classify:
         return list(p)
 
     @staticmethod
-    def segments(net: Network, spans: list[tuple[int, int]], found: list[np.ndarray]) -> list[dict]:
-        if not net.languages:
+    def segments(net: Network, spans: list[tuple[int, int, bool, bool]], found: list[np.ndarray]) -> list[dict]:
+        if not net.languages or not spans:
             return []
+        sure = [bool(p.max() >= (SURE if whole and many else SURE_SHORT)) for (*_, whole, many), p in zip(spans, found, strict=True)]
+        voters = [i for i, s in enumerate(spans) if s[2]] or range(len(spans))
         votes = np.zeros(len(net.languages))
-        for p in found:
-            lang = int(p.argmax())
-            votes[lang] += p[lang] if p[lang] >= SURE else 0.01 * p[lang]
-        main = int(votes.argmax())
+        for i in voters:
+            lang = int(found[i].argmax())
+            votes[lang] += found[i][lang] if sure[i] else 0.01 * found[i][lang]
+        certain = sorted({int(found[i].argmax()) for i in voters if sure[i]}) or [int(votes.argmax())]
+        chosen = [int(p.argmax()) if s and (whole or many) else max(certain, key=lambda x: p[x]) if whole else None for (_, _, whole, many), p, s in zip(spans, found, sure, strict=True)]
+        after, k = list(chosen), None
+        for i in reversed(range(len(chosen))):
+            after[i] = k = chosen[i] if chosen[i] is not None else k
+        before = None
         out: list[dict] = []
-        for (a, b), each in zip(spans, found, strict=True):
-            lang = int(each.argmax()) if each.max() >= SURE else main
-            p = float(each[lang])
-            code = net.languages[lang]
-            if out and out[-1]["lang"] == code:
-                last = out[-1]
+        for (a, b, whole, many), each, lang, following, s in zip(spans, found, chosen, after, sure, strict=True):
+            if lang is None:
+                lang = max([x for x in (before, following) if x is not None] or certain, key=lambda x: each[x])
+            before = lang
+            p, code = float(each[lang]), net.languages[lang]
+            if not out or out[-1]["lang"] != code:
+                out.append({"start": a, "lang": code, "confidence": 0.0, "n": 0, "rest": 0, "firm": False})
+            last = out[-1]
+            last["length"] = b - last["start"]
+            if whole:
                 last["confidence"] = (last["confidence"] * last["n"] + p) / (last["n"] + 1)
                 last["n"] += 1
-                last["length"] = b - last["start"]
-            else:
-                out.append({"start": a, "length": b - a, "lang": code, "confidence": p, "n": 1})
+                last["firm"] |= many or s
+            elif not last["n"]:
+                last["rest"] += 1
+                last["confidence"] += (p - last["confidence"]) / last["rest"]
         return out
 
 
@@ -269,7 +314,7 @@ def classified(docs: DataFrame, net: Network | None = None) -> DataFrame:
     net = net or train(docs)
     kind = docs.schema["id"].dataType.simpleString()
     weights = docs.sparkSession.sparkContext.broadcast(net)
-    schema = f"key {kind}, segments array<struct<start:int,length:int,lang:string,confidence:double,n:int>>"
+    schema = f"key {kind}, segments {SEGMENTS}"
     return docs.where(F.col("id").isNotNull()).select(F.col("id").alias("key"), "text").mapInPandas(Classify(weights), schema)
 
 
@@ -281,7 +326,8 @@ def relabelled(docs: DataFrame, net: Network | None = None) -> DataFrame:
     docs = docs.where(F.col("id").isNotNull())
     # the label travels in the key's place next to it, so that no join is needed
     keyed = docs.select(F.struct(F.col("id"), normal_label(F.col("lang")).alias("label")).alias("key"), "text")
-    schema = f"key struct<id:{kind},label:string>, segments array<struct<start:int,length:int,lang:string,confidence:double,n:int>>"
-    found = keyed.mapInPandas(Classify(weights), schema).select("key.id", "key.label", F.array_distinct(F.transform("segments", lambda s: s["lang"])).alias("langs"))
-    wrong = F.col("label").isNull() | ~F.array_contains("langs", F.col("label")) | (F.size("langs") > 1)
+    schema = f"key struct<id:{kind},label:string>, segments {SEGMENTS}"
+    found = keyed.mapInPandas(Classify(weights), schema).select("key.id", "key.label", F.filter("segments", lambda s: s["n"] > 0).alias("whole"))
+    found = found.select("id", "label", F.array_distinct(F.transform("whole", lambda s: s["lang"])).alias("langs"), F.exists("whole", lambda s: s["firm"]).alias("firm"))
+    wrong = F.col("label").isNull() | (F.col("firm") & ~F.array_contains("langs", F.col("label"))) | (F.size("langs") > 1)
     return found.where((F.size("langs") > 0) & wrong).select("id", F.explode("langs").alias("lang")).distinct()

@@ -572,6 +572,35 @@ def test_language_held_out_accuracy_and_cases(spark):
     assert (en + " " + de)[s["start"] : s["start"] + s["length"]] == de
 
 
+def test_sentences_of_few_words_and_other_marks():
+    def parts(text):
+        return [text[a:b] for a, b in language.sentences(text)]
+
+    assert parts("Ventil klemmt nicht. Pump failed! はい。") == ["Ventil klemmt nicht.", "Pump failed!", "はい。"]
+    assert parts("Das Ventil Nr. 5 ist zu. Nur z. B. heute.") == ["Das Ventil Nr. 5 ist zu.", "Nur z. B. heute."]
+    assert parts("„Das Ventil ist jetzt zu.“ Dann geht es weiter.") == ["„Das Ventil ist jetzt zu.“", "Dann geht es weiter."]
+    assert parts("The pump has failed again.Der Motor steht ganz still.") == ["The pump has failed again.", "Der Motor steht ganz still."]
+    assert parts("هل المضخة تعمل الآن؟ المضخة لا تعمل الآن.") == ["هل المضخة تعمل الآن؟", "المضخة لا تعمل الآن."]
+    assert parts("पंप अभी बंद है। वाल्व भी बंद है।") == ["पंप अभी बंद है।", "वाल्व भी बंद है।"]
+    assert parts("阀门３．５已经关闭了．泵现在也关闭了｡") == ["阀门３．５已经关闭了．", "泵现在也关闭了｡"]
+    assert parts("異音が止まらない場合です。760時間後に点検します。") == ["異音が止まらない場合です。", "760時間後に点検します。"]
+    assert parts("The pump must be checked now. 0000123 Suppose that") == ["The pump must be checked now."]
+    assert parts("47 | 11") == parts("# KF-25311") == parts("fine print…") == parts(" ") == parts(None) == []
+
+
+def test_few_words_and_unfinished_lines_have_a_language(spark):
+    train = spark.createDataFrame([(i, t, c) for i, (c, t) in enumerate(labelled(1))], "id long, text string, lang string")
+    net = language.train(train)
+    en, ru = SENTENCES["en"].format("pump", "motor", 4), SENTENCES["ru"].format("motor", "filter", 7)
+    cases = [(1, "Перед запуском установки.", "en"), (2, en + " Без письменного разрешения.", "en"), (3, "Qzx vwk.", "de"), (4, "# Перед запуском установки необходимо проверить", "en"), (5, "# Pump limits\n\n" + en + "\n\n" + ru + " Через", "ru")]
+    df = spark.createDataFrame(cases, "id long, text string, lang string")
+    assert rows(language.relabelled(df, net)) == {(1, "ru"), (2, "en"), (2, "ru"), (5, "en"), (5, "ru")}
+    parts = {r["key"]: [(s["start"], s["start"] + s["length"], s["lang"]) for s in r["segments"]] for r in language.classified(df, net).collect()}
+    assert parts[4] == [(0, len(cases[3][1]), "ru")]
+    at = cases[4][1].index(ru)
+    assert parts[5] == [(0, at - 2, "en"), (at, len(cases[4][1]), "ru")]
+
+
 def test_queries_run_on_whole_tables(spark, data):
     from loomquill.llm.queries import QUERIES
 
